@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..constants import SEED
 from ..schemas import FOREST_NODES
@@ -134,7 +135,7 @@ def forest_score(nodes: DataFrame, features: list[str]) -> Column:
     """Column with -2^(-E[path]/c): near -1 is abnormal. Only the features go to Python."""
     packed = nodes.sparkSession.sparkContext.broadcast(_pack(nodes.collect()))
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def score(*columns: pd.Series) -> pd.Series:
         model = packed.value
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])

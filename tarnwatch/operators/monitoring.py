@@ -8,6 +8,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..constants import ALERT_WINDOW_DAYS
 from ..functions.columns import flag_sum, guarded_ratio
@@ -86,7 +87,7 @@ def categorical_drift(windowed: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_tail(chi2: pd.Series, dof: pd.Series) -> pd.Series:
     """Upper tail of the chi-square distribution with whole degrees of freedom."""
 

@@ -60,9 +60,14 @@ def sla_status(scores: DataFrame, top: int = TOP_SERVICES) -> DataFrame:
 
 
 def service_list(services: Column) -> Column:
-    """`[('name', rate), ...]`."""
+    """`[('name', rate), ...]` with rates as plain decimals."""
+
+    def plain(rate: Column) -> Column:
+        digits = F.regexp_replace(rate.cast("decimal(6,4)").cast("string"), "0+$", "")
+        return F.regexp_replace(digits, r"\.$", ".0")
+
     items = F.transform(services, lambda s: F.concat(
-        F.lit("('"), s["service"], F.lit("', "), s["rate"].cast("string"), F.lit(")")))
+        F.lit("('"), s["service"], F.lit("', "), plain(s["rate"]), F.lit(")")))
     return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
 
 
