@@ -19,6 +19,7 @@ from tarnwatch import constants as C
 from tarnwatch import schemas
 from tarnwatch.functions.columns import calendar_columns
 from tarnwatch.functions.text import question_words
+from tarnwatch.operators.bounded import scratch_dir, stored
 from tarnwatch.operators import detectors, forest, monitoring, ranking, retrieval, windows
 from tarnwatch.oracle import ORACLE_SQL
 from tarnwatch.plans import answers, assistant, feature_job, reports, scoring_job
@@ -55,6 +56,11 @@ def _features(spark: SparkSession, d: str) -> DataFrame:
     return feature_job.feature_table(_incidents(spark, d))
 
 
+def _saved_features(spark: SparkSession, d: str) -> DataFrame:
+    """The feature table as detectors find it: written once, then read."""
+    return stored(_features(spark, d), "features")
+
+
 def _corpus(spark: SparkSession, d: str) -> DataFrame:
     return corpus.assemble(
         corpus.from_documents(_table(spark, d, "documents")),
@@ -125,13 +131,13 @@ def month_end_flag(spark, d):
 
 def lag_features(spark, d):
     df = windows.with_history(_incidents(spark, d), "service_name", feature_job.ORDER,
-                              "resolution_time_mins", windows.lag_columns)
+                              "resolution_time_mins", frames={})
     return _rounded(df.select("incident_id", "service_name", *C.LAG_ROWS), 4, *C.LAG_ROWS)
 
 
 def rolling_features(spark, d):
     df = windows.with_history(_incidents(spark, d), "service_name", feature_job.ORDER,
-                              "resolution_time_mins", windows.rolling_columns)
+                              "resolution_time_mins", lags={})
     return _settled(df.select("incident_id", "service_name", *ROLLING), *ROLLING)
 
 
@@ -143,10 +149,10 @@ def sharded_history(spark, d):
 
 
 def time_rolling(spark, d):
-    columns = windows.time_rolling_columns(
-        "service_name", "timestamp", "resolution_time_mins", {"7d": 7, "14d": 14})
-    df = _incidents(spark, d).select("incident_id", *columns)
-    return _settled(df, "time_mean_7d", "time_mean_14d")
+    df = windows.hourly_trailing_means(
+        _incidents(spark, d), "service_name", "timestamp", "resolution_time_mins",
+        {"7d": 7, "14d": 14, "30d": 30})
+    return _settled(df, *[f"trailing_mean_{n}" for n in ("7d", "14d", "30d")])
 
 
 def service_total_join(spark, d):
@@ -188,22 +194,22 @@ def zscore_metrics_vs_label(spark, d):
 
 def contamination_cutoff(spark, d):
     """Rows at or above the 95th percentile of |z|, the same cut the forest makes."""
-    df = _flagged(spark, d)
-    cutoff = ranking.exact_quantile(df, F.abs("z_score"), 1 - C.CONTAMINATION)
+    df = stored(_flagged(spark, d).select("service_name", "risk_score"), "risk")
+    cutoff = ranking.exact_quantile(df, "risk_score", 1 - C.CONTAMINATION)
     return df.groupBy("service_name").agg(
         F.round(F.lit(cutoff), 6).alias("cutoff"),
-        F.count_if(F.abs("z_score") > F.lit(cutoff)).alias("flagged"))
+        F.count_if(F.col("risk_score") > F.lit(cutoff)).alias("flagged"))
 
 
 def isolation_forest_scores(spark, d):
-    df = scoring_job.anomaly_scores(_features(spark, d), C.BATCH_FEATURES, run_id="bench")
+    df = scoring_job.anomaly_scores(_saved_features(spark, d), C.BATCH_FEATURES, run_id="bench")
     return df.select("incident_id", "service_name", "anomaly_score", "risk_score",
                      "if_anomaly", "is_anomaly", "anomaly_type", "model_name")
 
 
 def forest_verdict_share(spark, d):
     """Flagged rows of the forest: the share that contamination asks for, as SQL can tell."""
-    features = _features(spark, d)
+    features = _saved_features(spark, d)
     nodes = forest.fit_forest(features, C.BASE_FEATURES)
     scored = scoring_job.score_with_forest(features, nodes, C.BASE_FEATURES)
     return scored.agg(F.count("*").alias("rows"),
@@ -211,7 +217,7 @@ def forest_verdict_share(spark, d):
 
 
 def detector_comparison(spark, d):
-    df = scoring_job.anomaly_scores(_features(spark, d), run_id="bench")
+    df = scoring_job.anomaly_scores(_saved_features(spark, d), run_id="bench")
     return detectors.compare_detectors(
         df, {"isolation_forest": "if_anomaly", "z_score_baseline": "z_anomaly"})
 
@@ -250,11 +256,9 @@ def schema_report(spark, d):
 
 
 def _score_batch_table(spark, d, **job):
-    from tarnwatch.operators.bounded import scratch_dir
-
     folder = f"{scratch_dir(spark)}/scored-{os.urandom(6).hex()}"
     name = f"anomaly_scores_{os.path.basename(folder).split('-')[1]}"
-    return scoring_job.score_batch(_features(spark, d), table=name, path=folder,
+    return scoring_job.score_batch(_saved_features(spark, d), table=name, path=folder,
                                    run_id="batch", **job)
 
 

@@ -56,8 +56,8 @@ def contains_any(text: Column, words: list[str]) -> Column:
 
 
 def keyword_score(text_clean: Column, keywords: list[str]) -> Column:
-    """One point per keyword that occurs as a substring, however often."""
-    points = [F.contains(F.lower(text_clean), F.lit(w.lower())).cast("int") for w in keywords]
+    """One point per keyword that occurs in the cleaned text as a substring, however often."""
+    points = [F.contains(text_clean, F.lit(w.lower())).cast("int") for w in keywords]
     return reduce(lambda a, b: a + b, points, F.lit(0))
 
 

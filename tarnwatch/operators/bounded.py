@@ -52,3 +52,12 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a table of few partitions to all cores before heavy per-row work.
+
+    A table with at least one partition per core is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -148,7 +148,7 @@ def contamination_offset(scores: DataFrame, column: str, contamination: float) -
     """Score below which the given share of the rows lies."""
     if not 0 < contamination <= 0.5:
         raise ValueError("contamination lies in (0, 0.5]")
-    return exact_quantile(scores, F.col(column), contamination)
+    return exact_quantile(scores, column, contamination)
 
 
 def with_forest_verdict(df: DataFrame, raw: str, offset: float) -> DataFrame:

@@ -61,10 +61,13 @@ def order_statistics(df: DataFrame, column: str, ranks: list[int]) -> dict[int,
     return found
 
 
-def exact_quantile(df: DataFrame, value: Column, q: float) -> float | None:
-    """Exact linearly interpolated quantile; nulls and NaN are left out."""
-    values = stored(df.select(value.cast("double").alias("v")), "quantile")
-    values = values.where(F.col("v").isNotNull() & ~F.isnan("v"))
+def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
+    """Exact linearly interpolated quantile; nulls and NaN are left out.
+
+    The column is scanned a few times: pass a stored table.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).where(
+        F.col("v").isNotNull() & ~F.isnan("v"))
     n = values.count()
     if n == 0:
         return None

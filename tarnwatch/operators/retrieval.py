@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..constants import RETRIEVE_K
 from ..functions.text import chunk_key, clean_text, explode_chunks, keyword_score
-from .bounded import bounded_rows
+from .bounded import bounded_rows, join_small, spread, stored
 from .ranking import top_k
 
 # Up to this many questions and keywords are written into the scan's expressions.
@@ -30,6 +30,7 @@ CELL_ROWS = 100_000
 
 def chunk_documents(docs: DataFrame, **size) -> DataFrame:
     """Chunks of every document with its type: doc_id, chunk_id, text, doc_type."""
+    docs = spread(docs.select("doc_id", "doc_type", "content"), "doc_id")
     chunks = explode_chunks(docs, "content", keep=("doc_id", "doc_type"), **size)
     return chunks.select("doc_id", "chunk_id", "text", "doc_type")
 
@@ -105,9 +106,8 @@ def _score_by_join(chunks: DataFrame, questions: DataFrame) -> DataFrame:
     shape = words.agg(F.collect_set(F.length("anchor")), F.max(F.length("keyword"))).first()
     if not shape[0]:
         return chunks.sparkSession.createDataFrame([], "id string, question_id string, score int")
-    text = F.lower("text_clean")
-    ahead = F.array_distinct(F.regexp_extract_all(
-        text, F.lit(f"(?s)(?=(.{{1,{shape[1]}}}))"), F.lit(1)))
+    ahead = F.regexp_extract_all(
+        "text_clean", F.lit(f"(?s)(?=(.{{1,{shape[1]}}}))"), F.lit(1))
     lengths = F.array(*[F.lit(n) for n in sorted(shape[0])])
     offers = (
         chunks.select("id", F.explode(ahead).alias("ahead"))
@@ -133,12 +133,15 @@ def _score_by_join(chunks: DataFrame, questions: DataFrame) -> DataFrame:
 def retrieve_by_keywords(chunks: DataFrame, questions: DataFrame, k: int = RETRIEVE_K) -> DataFrame:
     """Best `k` chunks per question by keyword score, then id, with their text.
 
-    Only ids and scores are ranked; the text of the winners is joined back.
+    Only ids and scores are ranked. The winners are written once, and the chunks are
+    scanned again for their text, with a broadcast when the winners are few.
     """
-    best = top_k(score_questions(chunks, questions), ["question_id"],
-                 [F.col("score").desc(), F.col("id")], k, "retrieval_rank")
+    best = stored(
+        top_k(score_questions(chunks, questions), ["question_id"],
+              [F.col("score").desc(), F.col("id")], k, "retrieval_rank"),
+        "retrieved")
     texts = chunks.select("id", "doc_id", "chunk_id", "text")
-    return texts.join(best, "id")
+    return join_small(texts, best, "id", "inner")
 
 
 def first_chunks(chunks: DataFrame, k: int) -> DataFrame:

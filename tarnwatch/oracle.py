@@ -333,13 +333,15 @@ FROM (SELECT *, {_ROLLING} FROM incidents)"""),
     "sharded_history": _with(INCIDENTS, f"""
 SELECT incident_id, service_name, {_LAG_ROUND}, {_settled(_ROLLING_NAMES)}
 FROM (SELECT *, {_LAGS}, {_ROLLING} FROM incidents)"""),
-    "time_rolling": _with(INCIDENTS, """
-SELECT incident_id, round(avg(resolution_time_mins) OVER (w
-    RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW) + 1e-8, 6) AS time_mean_7d,
-  round(avg(resolution_time_mins) OVER (w
-    RANGE BETWEEN 1209600 PRECEDING AND CURRENT ROW) + 1e-8, 6) AS time_mean_14d
-FROM (SELECT *, floor(epoch("timestamp"))::BIGINT AS sec FROM incidents)
-WINDOW w AS (PARTITION BY service_name ORDER BY sec)"""),
+    "time_rolling": _with(INCIDENTS + """,
+hourly AS (
+  SELECT service_name, floor(epoch("timestamp") / 3600)::BIGINT AS epoch_hour,
+    sum(resolution_time_mins) AS s, count(*) AS n FROM incidents GROUP BY 1, 2)""", """
+SELECT service_name, epoch_hour, """ + ", ".join(f"""round(
+    sum(s) OVER (w RANGE BETWEEN {24 * d - 1} PRECEDING AND CURRENT ROW)
+    / sum(n) OVER (w RANGE BETWEEN {24 * d - 1} PRECEDING AND CURRENT ROW) + 1e-8, 6)
+    AS trailing_mean_{d}d""" for d in (7, 14, 30)) + """
+FROM hourly WINDOW w AS (PARTITION BY service_name ORDER BY epoch_hour)"""),
     "service_total_join": _with(INCIDENTS, """
 SELECT service_name, incident_id, round(sum(resolution_time_mins)
     OVER (PARTITION BY service_name), 2) AS total_resolution_time FROM incidents"""),
