@@ -14,6 +14,8 @@ from .ranking import top_k
 
 # Rows of one key that a single task may window on its own.
 SHARD_ROWS = 1_000_000
+# Each longer run is merged from this many shorter ones.
+RADIX = 4
 
 
 def _one_row(value: str) -> Column:
@@ -26,66 +28,81 @@ def _one_row(value: str) -> Column:
     )
 
 
-def _merged(a: Column, b: Column) -> Column:
-    """Moments of two neighbouring runs of rows (Chan, Golub and LeVeque); `b` may be absent."""
-    n_b = F.coalesce(b["n"], F.lit(0))
-    n = a["n"] + n_b
-    apart = F.coalesce(b["mean"], F.lit(0.0)) - a["mean"]
-    share = F.when(n > 0, n_b / n).otherwise(0.0)
-    return F.struct(
-        n.alias("n"),
-        (a["mean"] + apart * share).alias("mean"),
-        (a["m2"] + F.coalesce(b["m2"], F.lit(0.0)) + apart * apart * a["n"] * share).alias("m2"),
-    )
+def _merged(runs: list[str]) -> Column:
+    """Moments of neighbouring runs of rows as one run; all but the first may be absent.
+
+    Means are taken relative to the first run and deviations to the merged mean, so
+    nothing large cancels and equal values give exactly 0.
+    """
+    parts = [(f"coalesce({r}.n, 0)", f"coalesce({r}.mean, 0D)", f"coalesce({r}.m2, 0D)")
+             for r in runs]
+    first = f"{runs[0]}.mean"
+    total = " + ".join(n for n, _, _ in parts)
+    shift = " + ".join(f"{n} * ({mean} - {first})" for n, mean, _ in parts)
+    merged = f"({first} + ({shift}) / greatest({total}, 1))"
+    m2 = " + ".join(f"{m2} + {n} * ({mean} - {merged}) * ({mean} - {merged})"
+                    for n, mean, m2 in parts)
+    return F.expr(f"named_struct('n', {total}, 'mean', {merged}, 'm2', {m2})")
 
 
 def add_history(df: DataFrame, window: WindowSpec, value: str, lags: dict[str, int] = LAG_ROWS,
                 frames: dict[str, int] = FRAME_ROWS) -> DataFrame:
     """Lags, and mean and sample deviation over the current row and n rows before it.
 
-    A `rowsBetween` frame is summed anew for every row. Here the moments of runs of 1, 2,
-    4, ... rows are built from each other by lags, and a frame is the merge of the few runs
-    its length is made of: a dozen lags over one sort instead of hundreds of additions.
+    A `rowsBetween` frame is summed anew for every row. Here the moments of runs of 1, 4,
+    16, ... rows are built from each other by lags, and a frame is the merge of the few
+    runs its length is made of: some thirty lags over one sort instead of hundreds of
+    additions per row.
     """
-    keep = df.columns
+    keep = [F.col(c) for c in [*df.columns, *lags]]
     df = df.select("*", *[F.lag(value, n).over(window).alias(c) for c, n in lags.items()])
     if not frames:
         return df
     widths = {name: n + 1 for name, n in frames.items()}
-    size = 1
+    pieces = {name: _run_offsets(width) for name, width in widths.items()}
+
+    size, done = 1, [F.col("_run1")]
     df = df.withColumn("_run1", _one_row(value))
-    while 2 * size <= max(widths.values()):
-        df = df.withColumn("_before", F.lag(f"_run{size}", size).over(window))
-        df = df.withColumn(f"_run{2 * size}", _merged(F.col(f"_run{size}"), F.col("_before")))
-        size *= 2
-    parts = {name: _run_offsets(width) for name, width in widths.items()}
-    df = df.select(*keep, *lags, *[
+    while size * RADIX <= max(widths.values()):
+        steps = [F.lag(f"_run{size}", i * size).over(window).alias(f"_back{i}")
+                 for i in range(1, RADIX)]
+        longer = _merged([f"_run{size}"] + [f"_back{i}" for i in range(1, RADIX)])
+        df = df.select(*keep, *done, *steps)
+        size *= RADIX
+        df = df.select(*keep, *done, longer.alias(f"_run{size}"))
+        done.append(F.col(f"_run{size}"))
+
+    wanted = sorted({p for runs in pieces.values() for p in runs})
+    df = df.select(*keep, *[
         (F.lag(f"_run{run}", offset).over(window) if offset else F.col(f"_run{run}"))
-        .alias(f"_{name}_{i}")
-        for name, runs in parts.items() for i, (run, offset) in enumerate(runs)
+        .alias(f"_at{run}_{offset}") for run, offset in wanted
+    ])
+    df = df.select(*keep, *[
+        _merged([f"_at{run}_{offset}" for run, offset in runs]).alias(f"_frame_{name}")
+        for name, runs in pieces.items()
     ])
-    for name, runs in parts.items():
-        for i in range(1, len(runs)):
-            df = df.withColumn(f"_{name}_{i}",
-                               _merged(F.col(f"_{name}_{i - 1}"), F.col(f"_{name}_{i}")))
     results = []
-    for name, runs in parts.items():
-        whole = F.col(f"_{name}_{len(runs) - 1}")
+    for name in frames:
+        frame = F.col(f"_frame_{name}")
         results += [
-            F.when(whole["n"] > 0, whole["mean"]).alias(f"rolling_mean_{name}"),
-            F.when(whole["n"] > 1, F.sqrt(whole["m2"] / (whole["n"] - 1)))
+            F.when(frame["n"] > 0, frame["mean"]).alias(f"rolling_mean_{name}"),
+            F.when(frame["n"] > 1, F.sqrt(frame["m2"] / (frame["n"] - 1)))
             .alias(f"rolling_std_{name}"),
         ]
-    return df.select(*keep, *lags, *results)
+    return df.select(*keep, *results)
 
 
 def _run_offsets(width: int) -> list[tuple[int, int]]:
-    """Power-of-two runs that make up `width` rows, with how far back each one ends."""
+    """Runs of RADIX-power lengths that make up `width` rows, with how far back each ends."""
+    size = 1
+    while size * RADIX <= width:
+        size *= RADIX
     runs, offset = [], 0
-    for bit in reversed(range(width.bit_length())):
-        if width >> bit & 1:
-            runs.append((1 << bit, offset))
-            offset += 1 << bit
+    while size:
+        while offset + size <= width:
+            runs.append((size, offset))
+            offset += size
+        size //= RADIX
     return runs
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import ASSISTANT_QUESTIONS, SAMPLE_QUESTIONS
+from ..operators.bounded import spread
 from ..schemas import RAG_DOCUMENTS
 
 
@@ -70,7 +71,8 @@ def from_incidents(df: DataFrame) -> DataFrame:
 
 def assemble(*sources: DataFrame) -> DataFrame:
     """One corpus from sources that share the declared columns."""
-    return reduce(DataFrame.unionByName, sources).select(*RAG_DOCUMENTS.names)
+    dealt = [spread(source, "doc_id") for source in sources]
+    return reduce(DataFrame.unionByName, dealt).select(*RAG_DOCUMENTS.names)
 
 
 def sample_questions(spark: SparkSession) -> DataFrame:
