@@ -377,8 +377,9 @@ def anomaly_rate_by_service(spark, d):
 
 
 def table_predicate(spark, d):
-    _incidents(spark, d).createOrReplaceTempView("raw_operations")
-    df = tables.query_table(spark, "raw_operations", "severity = 1 AND sla_breached")
+    _incidents(spark, d).createOrReplaceTempView("queried_incidents")
+    df = tables.query_table(spark, "queried_incidents", "severity = 1 AND sla_breached",
+                            allowed=tables.TABLES | {"queried_incidents"})
     return df.select("incident_id", "service_name", "severity", "sla_breached")
 
 
