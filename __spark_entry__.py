@@ -118,6 +118,16 @@ def exact_fraction_pick(spark, d):
     return picked.select("event_id", "picked")
 
 
+def planted_incidents(spark, d):
+    """Incidents with an exact share of planted rows, summed per service."""
+    picked = ranking.pick_fraction(_table(spark, d, "events"), "event_id", 0.05)
+    df = incidents_from_events(picked, planted="picked").groupBy("service_name").agg(
+        F.count("*").alias("incidents"), F.sum("is_anomaly").cast("bigint").alias("planted"),
+        F.count_if("sla_breached").alias("breached"),
+        F.sum("resolution_time_mins").alias("minutes"))
+    return _rounded(df, 2, "minutes")
+
+
 def calendar_features(spark, d):
     return _incidents(spark, d).select("incident_id", *calendar_columns()).drop("is_month_end")
 
@@ -275,6 +285,23 @@ def score_batch_days(spark, d):
         F.sum(F.col("label_anomaly").cast("bigint")).alias("planted"))
 
 
+def saved_model_scores(spark, d):
+    """A model trained on the first three weeks scores the recent days with its own cutoff."""
+    features = monitoring.split_windows(_saved_features(spark, d), AS_OF)
+    model = scoring_job.train_model(features.where("window = 'baseline'"))
+    recent = features.where("window = 'current'").drop("window")
+    df = scoring_job.anomaly_scores(recent, model=model, run_id="saved")
+    return df.select("incident_id", "service_name", "anomaly_score", "if_anomaly")
+
+
+def model_performance(spark, d):
+    scores = _flagged(spark, d).withColumns({
+        "model_name": F.when(F.col("service_name") == "error", "z_error").otherwise("z_other"),
+        "scored_at": F.col("timestamp")})
+    df = scoring_job.model_performance(scores, "z_other")
+    return _rounded(df, 6, "precision", "recall", "f1")
+
+
 # --- Monitoring ---------------------------------------------------------------
 
 def alert_fatigue(spark, d):
@@ -505,6 +532,10 @@ def sla_status(spark, d):
                          assistant.service_list(F.col("top_anomaly_services")))
 
 
+def knowledge_lookup(spark, d):
+    return assistant.knowledge(corpus.sample_questions(spark), _corpus_chunks(spark, d))
+
+
 def prediction_lookup(spark, d):
     df = scoring_job.prediction_lookup(_flagged(spark, d), "error", "2024-01-01", "2024-01-15")
     return _rounded(df, 6, "prediction", "mean_score")
@@ -535,12 +566,13 @@ def assistant_trace(spark, d):
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    incidents, exact_fraction_pick, calendar_features, month_end_flag, lag_features,
+    incidents, exact_fraction_pick, planted_incidents, calendar_features, month_end_flag, lag_features,
     rolling_features, sharded_history, time_rolling, service_total_join, feature_table,
     feature_vectors,
     zscore_flags, zscore_metrics, zscore_metrics_vs_label, contamination_cutoff,
     isolation_forest_scores, forest_verdict_share, detector_comparison, rule_comparison,
     arm_split_metrics, run_metrics, null_report, schema_report, score_batch, score_batch_days,
+    saved_model_scores, model_performance,
     alert_fatigue, alert_triggers, numeric_drift, categorical_drift, drift_significance,
     quality_profile, incident_checks,
     anomalies_by_service, anomaly_trend_daily, anomaly_trend_hourly, resolution_by_team,
@@ -550,7 +582,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     corpus_union, documents_by_type, chunks, chunk_duplicates, chunks_indexed,
     chunk_snapshot_diff, keyword_hits, keyword_hits_sets, keyword_hits_batch, knn_topk,
     knn_topk_by_cell, rerank_length, prompts, cited_answers, cited_answers_batch,
-    question_routes, sla_status, prediction_lookup, assistant_context,
+    question_routes, knowledge_lookup, sla_status, prediction_lookup, assistant_context,
     assistant_context_first_k, assistant_trace,
 ]
 

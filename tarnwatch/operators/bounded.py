@@ -55,9 +55,9 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a table of few partitions to all cores before heavy per-row work.
+    """Deal a table of few files to all cores before heavy per-row work.
 
-    A table with at least one partition per core is returned as it is, without a shuffle.
+    A table with at least one file per core is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)

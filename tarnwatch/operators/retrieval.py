@@ -21,9 +21,11 @@ from .ranking import top_k
 INLINE_QUESTIONS = 64
 INLINE_KEYWORDS = 512
 # Up to this many query vectors are sent to every task.
-INLINE_VECTORS = 4096
+INLINE_VECTORS = 1024
 # Rows of a corpus shard that meets a block of query vectors in one task.
 CELL_ROWS = 100_000
+# Corpus rows per matrix product: the product stays below 64 MB.
+SLICE_ROWS = 8_192
 
 
 # --- Chunk tables -------------------------------------------------------------
@@ -157,21 +159,40 @@ def _unit_rows(x: np.ndarray) -> np.ndarray:
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(float)
-    return flat.reshape(len(column), -1)
-
-
-def _best(ids: np.ndarray, similarity: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per column of `similarity`: ids and values of the k largest, ties by id."""
-    out = []
-    for values in similarity.T:
-        # Everything that reaches the k-th value stays in, so ties are settled by id.
-        keep = np.arange(len(values))
-        if len(values) > k:
-            keep = np.flatnonzero(values >= np.partition(values, -k)[-k])
-        keep = keep[np.lexsort((ids[keep], -values[keep]))][:k]
-        out.append((ids[keep], values[keep]))
-    return out
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
+
+
+class _Nearest:
+    """Running top-k per query vector over slices of a corpus; ties go to the lower id."""
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = _unit_rows(queries.astype(float)), k
+        self.held = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        for start in range(0, len(ids), SLICE_ROWS):
+            part = slice(start, start + SLICE_ROWS)
+            self._add(ids[part], _unit_rows(vectors[part].astype(float)) @ self.queries.T)
+
+    def _add(self, ids: np.ndarray, product: np.ndarray) -> None:
+        for q, similar in enumerate(product.T):
+            keep = slice(None)
+            if len(similar) > self.k:
+                # Everything that reaches the k-th value stays, so that ids settle ties.
+                keep = np.flatnonzero(similar >= np.partition(similar, -self.k)[-self.k])
+            all_ids = np.concatenate([self.held[q][0], ids[keep]])
+            values = np.concatenate([self.held[q][1], similar[keep]])
+            order = np.lexsort((all_ids, -values))[:self.k]
+            self.held[q] = (all_ids[order], values[order])
+
+    def columns(self, query_ids: np.ndarray) -> dict[str, np.ndarray]:
+        counts = [len(ids) for ids, _ in self.held]
+        return {
+            "query_id": np.repeat(query_ids, counts),
+            "vec_id": np.concatenate([ids for ids, _ in self.held]),
+            "similarity": np.concatenate([values for _, values in self.held]),
+        }
 
 
 def vector_top_k(corpus: DataFrame, queries: DataFrame, k: int = RETRIEVE_K,
@@ -195,29 +216,15 @@ def _vectors_inline(corpus: DataFrame, rows: list, k: int) -> DataFrame:
     if not rows:
         return corpus.sparkSession.createDataFrame([], schema)
     names = np.array([r.query_id for r in rows], dtype=np.int64)
-    queries = corpus.sparkSession.sparkContext.broadcast(
-        _unit_rows(np.array([r.embedding for r in rows], dtype=float)))
+    vectors = corpus.sparkSession.sparkContext.broadcast(
+        np.array([r.embedding for r in rows], dtype=float))
 
     def scan(batches):
-        # One running top-k per query, whatever the number of batches.
-        held: list = [(np.empty(0, np.int64), np.empty(0))] * len(names)
+        nearest = _Nearest(vectors.value, k)
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-            product = _unit_rows(_matrix(batch.column("embedding"))) @ queries.value.T
-            for q, (new_ids, new) in enumerate(_best(ids, product, k)):
-                all_ids = np.concatenate([held[q][0], new_ids])
-                values = np.concatenate([held[q][1], new])
-                order = np.lexsort((all_ids, -values))[:k]
-                held[q] = (all_ids[order], values[order])
-        counts = [len(h[0]) for h in held]
-        if sum(counts):
-            yield pa.RecordBatch.from_pydict({
-                "query_id": np.repeat(names, counts),
-                "vec_id": np.concatenate([h[0] for h in held]),
-                "similarity": np.concatenate([h[1] for h in held]),
-            })
+            nearest.add(batch.column("vec_id").to_numpy(zero_copy_only=False),
+                        _matrix(batch.column("embedding")))
+        yield pa.RecordBatch.from_pydict(nearest.columns(names))
 
     return corpus.select("vec_id", "embedding").mapInArrow(scan, schema)
 
@@ -242,15 +249,9 @@ def _vectors_by_cell(corpus: DataFrame, queries: DataFrame, k: int, block: int,
     def cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "similarity": []})
-        ids = c["vec_id"].to_numpy()
-        product = (_unit_rows(np.stack(c["embedding"]).astype(float))
-                   @ _unit_rows(np.stack(q["embedding"]).astype(float)).T)
-        best = _best(ids, product, k)
-        return pd.DataFrame({
-            "query_id": np.repeat(q["query_id"].to_numpy(), [len(b[0]) for b in best]),
-            "vec_id": np.concatenate([b[0] for b in best]),
-            "similarity": np.concatenate([b[1] for b in best]),
-        })
+        nearest = _Nearest(np.stack(q["embedding"]), k)
+        nearest.add(c["vec_id"].to_numpy(), np.stack(c["embedding"]))
+        return pd.DataFrame(nearest.columns(q["query_id"].to_numpy()))
 
     return left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInPandas(
         cell, "query_id bigint, vec_id bigint, similarity double")

@@ -14,6 +14,8 @@ from .ranking import top_k
 
 # Rows of one key that a single task may window on its own.
 SHARD_ROWS = 1_000_000
+# Beyond this many shards they grow instead; sort and window spill.
+MAX_SHARDS = 20_000
 # Each longer run is merged from this many shorter ones.
 RADIX = 4
 
@@ -134,7 +136,7 @@ def with_sharded_history(df: DataFrame, key: str, order: list[str], value: str,
     lost executor cannot move a boundary.
     """
     reach = _reach(lags, frames)
-    parts = max(1, math.ceil(df.count() / shard_rows))
+    parts = min(MAX_SHARDS, max(1, math.ceil(df.count() / shard_rows)))
     ranged = stored(
         df.repartitionByRange(parts, key, *order).withColumn("_shard", F.spark_partition_id()),
         "shards",

@@ -320,6 +320,18 @@ SELECT event_id, CASE WHEN row_number() OVER (ORDER BY draw, event_id)
     <= floor(0.05 * count(*) OVER ()) THEN 1 ELSE 0 END::INTEGER AS picked
 FROM (SELECT event_id, ('0x' || substr(md5('42|' || event_id), 1, 12))::BIGINT AS draw
       FROM events)""",
+    "planted_incidents": _with("""
+picked AS (
+  SELECT * EXCLUDE (draw), CASE WHEN row_number() OVER (ORDER BY draw, event_id)
+      <= floor(0.05 * count(*) OVER ()) THEN 1 ELSE 0 END AS inj,
+    CASE WHEN hour(ts) BETWEEN 9 AND 18 THEN (20 + value) * 1.2 ELSE 20 + value END AS rt,
+    CASE event_id % 3 WHEN 0 THEN 30 WHEN 1 THEN 60 ELSE 120 END AS sla
+  FROM (SELECT *, ('0x' || substr(md5('42|' || event_id), 1, 12))::BIGINT AS draw FROM events))
+""", """
+SELECT event_type AS service_name, count(*) AS incidents, sum(inj)::BIGINT AS planted,
+  count(*) FILTER (inj = 1 OR rt > sla) AS breached,
+  round(sum(CASE WHEN inj = 1 THEN rt * 3 ELSE rt END), 2) AS minutes
+FROM picked GROUP BY event_type"""),
     "calendar_features": _with(FEATURES, """
 SELECT incident_id, day_of_week, week_of_year, month FROM features"""),
     "month_end_flag": """
@@ -390,6 +402,12 @@ SELECT "column", nulls, "rows" FROM (
     "score_batch_days": _with(FLAGGED, """
 SELECT "timestamp"::DATE::VARCHAR AS day, count(*) AS incidents, sum(label_anomaly)::BIGINT AS planted
 FROM flagged GROUP BY 1"""),
+    "model_performance": _with(
+        FLAGGED + """,
+own AS (SELECT * FROM flagged WHERE service_name <> 'error')""",
+        'SELECT \'z_other\' AS model_name, "precision", recall, f1, '
+        '(SELECT max("timestamp") FROM own) AS last_updated FROM ('
+        + _metrics("own", "z_anomaly", "sla_breached") + ")"),
     "alert_fatigue": _with(ALERT_RATES, "SELECT * FROM rates"),
     "alert_triggers": _with(ALERT_RATES, "SELECT * FROM rates WHERE alert_fatigue_rate > 0.12"),
     "numeric_drift": _with(INCIDENTS, f"""
@@ -526,6 +544,11 @@ SELECT question_id, array_to_string(tools, ',') AS tools FROM routed"""),
     "sla_status": _with(FLAGGED + "," + STATUS, """
 SELECT total_incidents, breached, sla_breach_rate, breach_percent, escalation,
   top_anomaly_services FROM status"""),
+    "knowledge_lookup": _with(
+        CORPUS_CHUNKS + "," + SAMPLE_QUESTIONS + "," + _hits(C.KNOWLEDGE_K), f"""
+SELECT question_id, {_BULLET} ORDER BY retrieval_rank) AS bullets,
+  count(*)::INTEGER AS docs_returned
+FROM hits JOIN chunks USING (id) GROUP BY question_id"""),
     "prediction_lookup": _with(FLAGGED, """
 SELECT 'error' AS entity_id, '2024-01-01' AS start_date, '2024-01-15' AS end_date,
   count(*) AS incidents, round(count(*) FILTER (is_anomaly) / count(*), 6) AS prediction,

@@ -12,7 +12,7 @@ from ..constants import (
     ANOMALY_TYPE, BATCH_FEATURES, CONTAMINATION, MODEL_NAME, SEED,
 )
 from ..operators.bounded import stored
-from ..operators.detectors import with_zscore
+from ..operators.detectors import detector_metrics, with_zscore
 from ..operators.forest import (
     contamination_offset, fit_forest, forest_score, with_forest_verdict,
 )
@@ -35,15 +35,31 @@ def score_with_forest(features: DataFrame, nodes: DataFrame, columns: list[str],
     return with_forest_verdict(raw, "_raw", offset).drop("_raw")
 
 
+def train_model(features: DataFrame, columns: list[str] = BATCH_FEATURES, seed: int = SEED,
+                contamination: float = CONTAMINATION) -> DataFrame:
+    """A model to keep: node rows with the cutoff of the training scores on each.
+
+    Written once and read by every later scoring run; it has a few ten thousand rows.
+    """
+    nodes = stored(fit_forest(features, columns, seed=seed), "forest")
+    raw = stored(features.select(forest_score(nodes, columns).alias("_raw")), "scores")
+    cutoff = contamination_offset(raw, "_raw", contamination)
+    return nodes.withColumn("cutoff", F.lit(cutoff))
+
+
 def anomaly_scores(features: DataFrame, columns: list[str] = BATCH_FEATURES,
                    run_id: str | None = None, scored_at: dt.datetime | None = None,
-                   nodes: DataFrame | None = None, seed: int = SEED,
+                   model: DataFrame | None = None, seed: int = SEED,
                    contamination: float = CONTAMINATION) -> DataFrame:
-    """Rows of ANOMALY_SCORES: both detectors and the lineage columns."""
+    """Rows of ANOMALY_SCORES: both detectors and the lineage columns.
+
+    Without a trained `model` a forest is fitted to these rows and cut at their own quantile.
+    """
     z = with_zscore(features)
-    if nodes is None:
-        nodes = fit_forest(z, columns, seed=seed)
-    scored = score_with_forest(z, nodes, columns, contamination)
+    if model is None:
+        scored = score_with_forest(z, fit_forest(z, columns, seed=seed), columns, contamination)
+    else:
+        scored = score_with_forest(z, model, columns, offset=model.first()["cutoff"])
     when = F.current_timestamp() if scored_at is None else F.lit(scored_at).cast("timestamp")
     scored = scored.withColumnRenamed("is_anomaly", "label_anomaly").withColumns({
         "is_anomaly": F.col("if_anomaly").cast("boolean"),
@@ -61,8 +77,8 @@ def score_batch(features: DataFrame, table: str = "anomaly_scores",
                 path: str | None = None, **options) -> DataFrame:
     """Check the input, score it, write the table and return it.
 
-    `models` maps an alias to a node table; without one for the alias a forest is fitted
-    on the rows at hand. A `scoring_date` limits the job to that day's incidents.
+    `models` maps an alias to a trained model; without one for the alias a forest is fitted
+    to the rows at hand. A `scoring_date` limits the job to that day's incidents.
     """
     if scoring_date is not None:
         start = F.lit(scoring_date).cast("date")
@@ -70,8 +86,8 @@ def score_batch(features: DataFrame, table: str = "anomaly_scores",
             (F.col("timestamp") >= start.cast("timestamp_ntz"))
             & (F.col("timestamp") < F.date_add(start, 1).cast("timestamp_ntz")))
     require_not_null(features, ["resolution_time_mins"])
-    nodes = (models or {}).get(model_alias)
-    scored = anomaly_scores(features, nodes=nodes, **options)
+    model = (models or {}).get(model_alias)
+    scored = anomaly_scores(features, model=model, **options)
     spark = features.sparkSession
     if write_mode == "overwrite":
         drop_table(spark, table)
@@ -93,3 +109,13 @@ def prediction_lookup(scores: DataFrame, service: str, start: str, end: str,
         F.coalesce(F.avg(F.col(flag).cast("int")), F.lit(0.0)).alias("prediction"),
         F.avg(score).alias("mean_score"),
     )
+
+
+def model_performance(scores: DataFrame, model_name: str, flag: str = "is_anomaly",
+                      truth: str = "sla_breached") -> DataFrame:
+    """Quality of a model's stored verdicts and when they were last made."""
+    own = scores.where(F.col("model_name") == model_name)
+    last = own.select(F.max("scored_at")).scalar()
+    return detector_metrics(own, flag, truth).select(
+        F.lit(model_name).alias("model_name"), "precision", "recall", "f1",
+        last.alias("last_updated"))

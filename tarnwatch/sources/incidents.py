@@ -27,11 +27,11 @@ def with_breach_and_plants(df: DataFrame, planted: str, factor: float = 3.0) ->
     })
 
 
-def incidents_from_events(events: DataFrame) -> DataFrame:
+def incidents_from_events(events: DataFrame, planted: str | None = None) -> DataFrame:
     """Read each event as an incident of the service named by its type (schema RAW_OPERATIONS).
 
-    Severity, limits, teams and planted anomalies follow from the ids, so SQL can
-    repeat the table row by row.
+    Severity, limits and teams follow from the ids, so SQL can repeat the table row by row.
+    So do planted anomalies, unless `planted` names a 0/1 column that marks them.
     """
     event, user = F.col("event_id"), F.col("user_id")
     tenth = event * 31 % 10
@@ -48,7 +48,8 @@ def incidents_from_events(events: DataFrame) -> DataFrame:
         map_value(event % 4, {0: "dependency_failure", 1: "timeout", 2: "code_bug"},
                   "infra_issue").alias("root_cause"),
         F.hour("ts").alias("hour"),
-        F.when(event * 7919 % 100 < 5, 1).otherwise(0).alias("_planted"),
+        (F.col(planted) if planted else F.when(event * 7919 % 100 < 5, 1).otherwise(0))
+        .alias("_planted"),
         F.when(event * 13 % 5 == 0, 1).otherwise(0).alias("repeat_incident"),
     )
     return with_breach_and_plants(base, "_planted").select(*RAW_OPERATIONS.names)

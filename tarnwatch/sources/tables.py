@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StructType
+from pyspark.sql.types import StructType
 
 TABLES = frozenset({
     "raw_operations", "features_operations", "anomaly_scores",
@@ -18,20 +18,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite",
                partition_by: tuple[str, ...] = (), fmt: str = "parquet",
-               path: str | None = None, salts: int = 64) -> None:
+               path: str | None = None) -> None:
     """Save as a catalog table, by default replacing the old one and its schema.
 
-    For a partitioned table the rows are gathered by partition value and a salt, so each
-    value gets at most `salts` files and a hot value is written by that many tasks.
+    Rows of a partitioned table are gathered by partition value with a rebalance: Spark
+    splits a hot value over many tasks and joins small ones, by size.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
-        plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-        salt = F.pmod(F.xxhash64(*plain), F.lit(salts))
-        writer = (
-            df.repartition(*partition_by, salt)
-            .write.format(fmt).mode(mode).partitionBy(*partition_by)
-        )
+        writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

@@ -82,8 +82,9 @@ def vectors(spark):
         6).cache()
 
 
-@pytest.mark.parametrize("inline, cell_rows", [(4096, 100_000), (10, 90)])
-def test_vector_paths_equal_brute_force(vectors, inline, cell_rows):
+@pytest.mark.parametrize("inline, cell_rows", [(1024, 100_000), (10, 90)])
+def test_vector_paths_equal_brute_force(vectors, monkeypatch, inline, cell_rows):
+    monkeypatch.setattr(retrieval, "SLICE_ROWS", 17)
     queries = vectors.where("vec_id < 40").select(
         F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>"))
     got = {}

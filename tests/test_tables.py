@@ -20,12 +20,11 @@ def incidents(spark):
 
 def test_partitioned_table_round_trip(spark, incidents, tmp_path):
     path = str(tmp_path / "t")
-    tables.save_table(incidents, "raw_operations", partition_by=("service_name",), path=path,
-                      salts=2)
+    tables.save_table(incidents, "raw_operations", partition_by=("service_name",), path=path)
     assert spark.table("raw_operations").count() == 1000
     folders = [f for f in os.listdir(path) if f.startswith("service_name=")]
     assert len(folders) == 5
-    assert all(len([f for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet")]) <= 2
+    assert all(len([f for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet")]) == 1
                for d in folders)
     assert "raw_operations" in [r.tableName for r in tables.list_tables(spark).collect()]
     one = tables.query_table(spark, "raw_operations", "service_name = 'error' AND severity = 1")
