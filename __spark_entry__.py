@@ -22,7 +22,7 @@ from tarnwatch.functions.text import question_words
 from tarnwatch.operators.bounded import scratch_dir, stored
 from tarnwatch.operators import detectors, forest, monitoring, ranking, retrieval, windows
 from tarnwatch.oracle import ORACLE_SQL
-from tarnwatch.plans import answers, assistant, feature_job, reports, scoring_job
+from tarnwatch.plans import answers, assistant, feature_job, reports, scoring_job, tracking
 from tarnwatch.sources import corpus, tables
 from tarnwatch.sources.incidents import incidents_from_events
 
@@ -249,7 +249,14 @@ def run_metrics(spark, d):
     metrics = zscore_metrics(spark, d)
     return detectors.metric_log(
         metrics, "run-z", "run-parent", "z_score_baseline", {"method": "z_score"},
-        F.lit("2024-01-31 00:00:00"))
+        F.lit("2024-01-31 00:00:00")).withColumn(
+        "logged_at", F.col("logged_at").cast("timestamp_ntz"))
+
+
+def tracked_runs(spark, d):
+    """Both detectors on the fourteen features, logged under one parent run."""
+    _, log = tracking.track_detectors(_saved_features(spark, d), F.lit("2024-01-31 00:00:00"))
+    return log.drop("logged_at")
 
 
 def null_report(spark, d):
@@ -571,7 +578,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     feature_vectors,
     zscore_flags, zscore_metrics, zscore_metrics_vs_label, contamination_cutoff,
     isolation_forest_scores, forest_verdict_share, detector_comparison, rule_comparison,
-    arm_split_metrics, run_metrics, null_report, schema_report, score_batch, score_batch_days,
+    arm_split_metrics, run_metrics, tracked_runs, null_report, schema_report, score_batch, score_batch_days,
     saved_model_scores, model_performance,
     alert_fatigue, alert_triggers, numeric_drift, categorical_drift, drift_significance,
     quality_profile, incident_checks,

@@ -16,11 +16,14 @@ from pyspark.sql.types import DoubleType
 
 from ..constants import SEED
 from ..schemas import FOREST_NODES
+from .bounded import bounded_rows
 from .detectors import feature_vector
 from .ranking import exact_quantile, top_k
 
 TREES = 100
 SAMPLE = 256
+# A larger node table is not a model; it is refused before it reaches the driver.
+MAX_NODES = 1_000_000
 # Rows drawn from the table per row needed; the exact sample is cut from these.
 MARGIN = 2
 
@@ -133,7 +136,10 @@ def _mean_path(x: np.ndarray, m: dict) -> np.ndarray:
 
 def forest_score(nodes: DataFrame, features: list[str]) -> Column:
     """Column with -2^(-E[path]/c): near -1 is abnormal. Only the features go to Python."""
-    packed = nodes.sparkSession.sparkContext.broadcast(_pack(nodes.collect()))
+    rows = bounded_rows(nodes, MAX_NODES)
+    if rows is None:
+        raise ValueError(f"a forest has at most {MAX_NODES} nodes")
+    packed = nodes.sparkSession.sparkContext.broadcast(_pack(rows))
 
     @F.pandas_udf(DoubleType())
     def score(*columns: pd.Series) -> pd.Series:

@@ -161,14 +161,17 @@ def with_sharded_history(df: DataFrame, key: str, order: list[str], value: str,
         .select(key, "_target", "_before", F.inline("_sources"))
     )
 
-    # The last `reach` rows of each shard, copied to the shards that look back at them.
-    tails = top_k(ranged, [key, "_shard"], [F.col(c).desc() for c in order], reach, "_from_end")
+    # The last `reach` rows of each shard, copied to the shards that look back at them. A
+    # copy is only looked at, so the columns that no window reads stay out.
+    looked_at = list(dict.fromkeys([key, *order, value]))
+    tails = top_k(ranged.select(*looked_at, "_shard"), [key, "_shard"],
+                  [F.col(c).desc() for c in order], reach, "_from_end")
     halo = (
         tails.join(feeds, [key, "_shard"])
         .where(F.col("_end") - F.col("_from_end") + 1 > F.col("_before") - reach)
-        .select(*df.columns, F.col("_target").alias("_shard"), F.lit(True).alias("_copy"))
+        .select(*looked_at, F.col("_target").alias("_shard"), F.lit(True).alias("_copy"))
     )
-    rows = ranged.withColumn("_copy", F.lit(False)).unionByName(halo)
+    rows = ranged.withColumn("_copy", F.lit(False)).unionByName(halo, allowMissingColumns=True)
     window = Window.partitionBy(key, "_shard").orderBy(*order)
     return (
         add_history(rows, window, value, lags, frames)
@@ -184,7 +187,7 @@ def hourly_trailing_means(df: DataFrame, key: str, ts: str, value: str,
     Rows are reduced to hourly sums before the window, so a frame holds at most 24 rows
     per day however many incidents there are.
     """
-    hour = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 3_600_000_000)
+    hour = F.unix_date(F.to_date(ts)).cast("bigint") * 24 + F.hour(ts)
     hourly = df.groupBy(key, hour.alias("epoch_hour")).agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_n"))
     by_hour = Window.partitionBy(key).orderBy("epoch_hour")

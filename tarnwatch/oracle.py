@@ -392,6 +392,13 @@ arms AS (
   SELECT *, CASE WHEN ('0x' || substr(md5(incident_id), 1, 8))::BIGINT % 100 < 90
     THEN 'champion' ELSE 'challenger' END AS arm FROM flagged)""",
         _metrics("arms", "z_anomaly", "sla_breached", "arm")),
+    "run_metrics": _with(FLAGGED, f"""
+SELECT 'run-z' AS run_id, 'run-parent' AS parent_run_id, 'z_score_baseline' AS model, kind, key,
+  value, TIMESTAMP '2024-01-31 00:00:00' AS logged_at
+FROM (SELECT unnest(['param', 'metric', 'metric', 'metric']) AS kind,
+        unnest(['method', 'precision', 'recall', 'f1']) AS key,
+        unnest(['z_score', "precision"::VARCHAR, recall::VARCHAR, f1::VARCHAR]) AS value
+      FROM ({_metrics("flagged", "z_anomaly", "sla_breached")}))"""),
     "null_report": _with(FEATURES, """
 SELECT "column", nulls, "rows" FROM (
   SELECT unnest(['resolution_time_mins', 'lag_30d', 'rolling_std_14d', 'rolling_std_30d'])

@@ -151,3 +151,32 @@ def test_metric_log_has_the_declared_schema(spark):
     assert {(r.kind, r.key, r.value) for r in log.collect()} == {
         ("param", "contamination", "0.05"), ("metric", "precision", "1.0"),
         ("metric", "recall", "1.0"), ("metric", "f1", "1.0")}
+
+
+def test_tracked_runs_hang_on_their_parent(spark, tmp_path):
+    from tarnwatch.plans import tracking
+
+    features = feature_table(incidents_from_events(
+        spark.read.parquet("/root/testdata/sf0.001/events.parquet")))
+    scores, log = tracking.track_detectors(features, F.lit("2024-01-01 00:00:00"))
+    assert scores.count() == 1000
+    tracking.append_log(log, "run_metrics", str(tmp_path / "log"))
+    tracking.append_log(log, "run_metrics", str(tmp_path / "log"))
+    rows = spark.table("run_metrics").collect()
+    tables.drop_table(spark, "run_metrics")
+    assert len(rows) == 2 * (2 + 4 + 5)
+    assert {(r.run_id, r.parent_run_id) for r in rows} == {
+        ("anomaly_detection_parent", None), ("z_score_model", "anomaly_detection_parent"),
+        ("isolation_forest", "anomaly_detection_parent")}
+
+
+def test_saved_model_keeps_its_cutoff(spark):
+    features = feature_table(incidents_from_events(
+        spark.read.parquet("/root/testdata/sf0.001/events.parquet")))
+    model = scoring_job.train_model(features, C.BASE_FEATURES)
+    whole = scoring_job.anomaly_scores(features, C.BASE_FEATURES, model=model)
+    part = scoring_job.anomaly_scores(features.where("severity = 1"), C.BASE_FEATURES, model=model)
+    got = {r.incident_id: r.anomaly_score for r in whole.collect()}
+    assert all(got[r.incident_id] == pytest.approx(r.anomaly_score, abs=1e-12)
+               for r in part.collect())
+    assert abs(sum(s < 0 for s in got.values()) - 50) <= 1
