@@ -6,7 +6,7 @@ from tarnwatch.session import local_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        "*", 8, "tests",
+        "4", 4, "tests",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )

@@ -5,12 +5,19 @@ from pyspark.sql import functions as F
 from tarnwatch import constants as C
 from tarnwatch import schemas
 from tarnwatch.operators import detectors, forest
+from tarnwatch.operators.bounded import stored
 from tarnwatch.plans import scoring_job
 from tarnwatch.plans.feature_job import feature_table
 from tarnwatch.sources import tables
 from tarnwatch.sources.incidents import incidents_from_events
 
-EVENTS = "/root/testdata/sf0.01/events.parquet"
+EVENTS = "/root/testdata/sf0.001/events.parquet"
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    incidents = incidents_from_events(spark.read.parquet(EVENTS))
+    return stored(feature_table(incidents), "features")
 
 
 @pytest.fixture(scope="module")
@@ -118,8 +125,7 @@ def test_contamination_sets_the_flagged_share(spark, points):
     assert flagged.where("anomaly_score >= 0 OR risk_score <= 0").count() == 0
 
 
-def test_batch_job_writes_the_declared_table(spark, tmp_path):
-    features = feature_table(incidents_from_events(spark.read.parquet(EVENTS)))
+def test_batch_job_writes_the_declared_table(spark, features, tmp_path):
     out = scoring_job.score_batch(
         features, table="scored_day", scoring_date="2024-01-15", path=str(tmp_path / "t"),
         columns=C.BASE_FEATURES, run_id="r1")
@@ -135,8 +141,7 @@ def test_batch_job_writes_the_declared_table(spark, tmp_path):
     tables.drop_table(spark, "scored_day")
 
 
-def test_batch_job_refuses_missing_values(spark):
-    features = feature_table(incidents_from_events(spark.read.parquet(EVENTS)))
+def test_batch_job_refuses_missing_values(features):
     broken = features.withColumn("resolution_time_mins", F.when(
         F.col("severity") > 1, F.col("resolution_time_mins")))
     with pytest.raises(ValueError, match="resolution_time_mins"):
@@ -153,11 +158,9 @@ def test_metric_log_has_the_declared_schema(spark):
         ("metric", "recall", "1.0"), ("metric", "f1", "1.0")}
 
 
-def test_tracked_runs_hang_on_their_parent(spark, tmp_path):
+def test_tracked_runs_hang_on_their_parent(spark, features, tmp_path):
     from tarnwatch.plans import tracking
 
-    features = feature_table(incidents_from_events(
-        spark.read.parquet("/root/testdata/sf0.001/events.parquet")))
     scores, log = tracking.track_detectors(features, F.lit("2024-01-01 00:00:00"))
     assert scores.count() == 1000
     tracking.append_log(log, "run_metrics", str(tmp_path / "log"))
@@ -170,9 +173,7 @@ def test_tracked_runs_hang_on_their_parent(spark, tmp_path):
         ("isolation_forest", "anomaly_detection_parent")}
 
 
-def test_saved_model_keeps_its_cutoff(spark):
-    features = feature_table(incidents_from_events(
-        spark.read.parquet("/root/testdata/sf0.001/events.parquet")))
+def test_saved_model_keeps_its_cutoff(features):
     model = scoring_job.train_model(features, C.BASE_FEATURES)
     whole = scoring_job.anomaly_scores(features, C.BASE_FEATURES, model=model)
     part = scoring_job.anomaly_scores(features.where("severity = 1"), C.BASE_FEATURES, model=model)
