@@ -568,6 +568,20 @@ WHERE service_name = 'error' AND "timestamp" >= TIMESTAMP '2024-01-01'
 SELECT question_id, context, {_quoted(C.ASSISTANT_HEAD)} || context
   || {_quoted(C.ASSISTANT_QUESTION)} || question || {_quoted(C.ASSISTANT_TAIL)} AS prompt
 FROM contexts"""),
+    "assistant_trace": _with(
+        ASSIST_BASE + "," + _KB_QUESTIONS + "," + _hits(C.KNOWLEDGE_K), """
+SELECT question_id, '[' || array_to_string([t FOR t IN [
+    CASE WHEN list_contains(tools, 'query_delta_table') THEN
+      '{"tool":"query_delta_table","output":' || to_json('{"total_incidents":' || total_incidents
+        || ',"breached":' || breached || ',"sla_breach_rate":' || sla_breach_rate
+        || ',"escalation":"' || escalation || '","top_anomaly_services":['
+        || (SELECT string_agg('{"service":"' || service_name || '","rate":' || round(rate, 4)
+              || '}', ',' ORDER BY rate DESC, service_name) FROM leaders) || ']}') || '}' END,
+    CASE WHEN list_contains(tools, 'search_knowledge_base') THEN
+      '{"tool":"search_knowledge_base","docs_returned":' || coalesce(docs, 0) || '}' END
+  ] IF t IS NOT NULL], ',') || ']' AS trace
+FROM routed LEFT JOIN (SELECT question_id, count(*) AS docs FROM hits GROUP BY question_id)
+  USING (question_id), status"""),
     "assistant_context_first_k": _with(ASSIST_BASE + "," + _context(_KB_FIRST), """
 SELECT question_id, context FROM contexts"""),
 }
