@@ -33,8 +33,11 @@ def feature_vector(features: list[str]) -> list[Column]:
 
 
 def detector_metrics(df: DataFrame, predicted: str, truth: str = "sla_breached",
-                     by: list[str] | None = None) -> DataFrame:
-    """Counts, precision, recall and F1 of a flag against a truth column, one scan."""
+                     by: list[str] | None = None, also: list[Column] | None = None) -> DataFrame:
+    """Counts, precision, recall and F1 of a flag against a truth column, one scan.
+
+    `also` adds further named aggregates to the same scan.
+    """
     hit = F.col(predicted).cast("boolean")
     real = F.col(truth).cast("boolean")
     counts = df.groupBy(*(by or [])).agg(
@@ -42,7 +45,9 @@ def detector_metrics(df: DataFrame, predicted: str, truth: str = "sla_breached",
         flag_sum(hit & real).alias("tp"),
         flag_sum(hit & ~real).alias("fp"),
         flag_sum(~hit & real).alias("fn"),
+        *(also or []),
     )
+    extra = counts.columns[len(by or []) + 4:]
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return counts.select(
         *(by or []), "rows",
@@ -51,6 +56,7 @@ def detector_metrics(df: DataFrame, predicted: str, truth: str = "sla_breached",
         guarded_ratio(tp, tp + fp).alias("precision"),
         guarded_ratio(tp, tp + fn).alias("recall"),
         guarded_ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        *extra,
     )
 
 

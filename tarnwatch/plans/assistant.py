@@ -11,6 +11,7 @@ from ..constants import (
 )
 from ..functions.columns import guarded_ratio, percent_text
 from ..functions.text import contains_any, question_words
+from ..operators.bounded import stored
 from ..operators.retrieval import first_chunks, retrieve_by_keywords
 from .answers import joined_in_order
 
@@ -31,13 +32,14 @@ def escalation(rate: Column, limit: float = ESCALATION_RATE) -> Column:
 def sla_status(scores: DataFrame, top: int = TOP_SERVICES) -> DataFrame:
     """One row: totals, breach rate, escalation and the services with the most anomalies.
 
-    Rows are counted per service once; the totals come from those counts.
+    Rows are counted per service in one scan and the counts written; totals and leaders
+    are both read from there.
     """
-    per_service = scores.groupBy("service_name").agg(
+    per_service = stored(scores.groupBy("service_name").agg(
         F.count("*").alias("n"),
         F.count_if(F.coalesce(F.col("sla_breached"), F.lit(False))).alias("b"),
         F.count_if(F.coalesce(F.col("is_anomaly"), F.lit(False))).alias("a"),
-    )
+    ), "services")
     rated = per_service.withColumn("rate", guarded_ratio(F.col("a"), F.col("n")))
     leaders = (
         rated.orderBy(F.col("rate").desc(), "service_name").limit(top)
@@ -103,14 +105,14 @@ def assist(questions: DataFrame, status: DataFrame, prediction: DataFrame,
     """Tool trace, context and prompt of every question.
 
     `status`, `prediction` and `performance` are one-row results; each is computed once
-    for all questions, as a scalar subquery.
+    for all questions, written, and read as a scalar subquery.
     """
     routed = route(questions)
     asks = routed.where(F.array_contains("tools", KNOWLEDGE)).select("question_id", "question")
     found = knowledge(asks, chunks, k, mode)
 
     def one_row(df: DataFrame) -> Column:
-        return df.select(F.struct(*df.columns)).scalar()
+        return stored(df.select(F.struct(*df.columns).alias("row")), "tool").scalar()
 
     full = routed.join(found, "question_id", "left").withColumns({
         "_status": one_row(status),

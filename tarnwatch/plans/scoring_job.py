@@ -115,7 +115,6 @@ def model_performance(scores: DataFrame, model_name: str, flag: str = "is_anomal
                       truth: str = "sla_breached") -> DataFrame:
     """Quality of a model's stored verdicts and when they were last made."""
     own = scores.where(F.col("model_name") == model_name)
-    last = own.select(F.max("scored_at")).scalar()
-    return detector_metrics(own, flag, truth).select(
-        F.lit(model_name).alias("model_name"), "precision", "recall", "f1",
-        last.alias("last_updated"))
+    last = F.max("scored_at").alias("last_updated")
+    return detector_metrics(own, flag, truth, also=[last]).select(
+        F.lit(model_name).alias("model_name"), "precision", "recall", "f1", "last_updated")
