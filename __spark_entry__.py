@@ -599,9 +599,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return anomalies_by_service(spark, "/root/testdata/sf0.001")
 
 
+# The training-data operators and their pipeline are optional: without them the rest stands.
+try:
+    import corpus_pipeline
+    from tarnwatch.llm import registry as llm_registry
+except ImportError as missing:
+    absent = missing.name or ""
+    if absent != "corpus_pipeline" and not absent.startswith("tarnwatch.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = {**llm_registry.QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_SQL = dict(llm_registry.ORACLE_SQL)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in QUERIES}
+    return {q.__name__: q for q in QUERIES} | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return dict(ORACLE_SQL) | LLM_SQL
