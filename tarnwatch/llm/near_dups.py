@@ -7,12 +7,13 @@ probe order, so that two sketches agree in a register with the probability of th
 similarity, for small sets too. Bands of eight registers are the candidate keys: a pair at
 similarity 0.85 shares none of the 48 bands in about two of ten million cases, at 0.9 far less.
 
-Documents with equal sets are one class and enter the search once. Candidates of a band key
-are not expanded to all pairs: in groups of more than SMALL members, a few centres are
-compared with all others, more centres in each round, and only members that are still in
-different components, until every group is one component or all its pairs are compared. A
-candidate pair is first judged by the collision-corrected estimate of its two sketches, with a
-margin of six standard deviations, then confirmed on the full sets.
+Documents with equal sets are one class and enter the search once. Candidates of a band key are not
+expanded to all pairs: in groups of more than SMALL members, the smallest id is compared with all
+others. Where that leaves several components in a group, its members are cut into blocks, and a
+task compares two blocks: only members of different components, and only links are
+returned. So every two documents that share a band are compared or known to be connected. A pair
+is first judged by the collision-corrected estimate of its two sketches, with a margin of six
+standard deviations, then confirmed on the full sets.
 
 Defined cases: a text without words, or null, has an empty set and is linked with nothing; one or
 two words are one shingle; a row without doc_id is linked with nothing, its component is null
@@ -37,6 +38,7 @@ BANDS = REGISTERS // ROWS
 MANTISSA = 10
 THRESHOLD = (85, 100)
 SMALL = 12
+BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
 DEVIATIONS = 6
 
 
@@ -105,14 +107,14 @@ def sketch_of(hashes: np.ndarray, probe: np.ndarray) -> np.ndarray:
     return registers
 
 
-def estimated_similarity(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> float:
-    """Jaccard from equal registers, less the share that agrees by chance.
+def similarity_estimates(a: np.ndarray, others: np.ndarray, size: int, sizes: np.ndarray) -> np.ndarray:
+    """Jaccard of one sketch with others from equal registers, less the share that agrees by chance.
 
     Minima of two unrelated buckets follow exponential laws with rates in proportion to the
     set sizes; they fall in one cell of 2**-MANTISSA of their octave with this probability.
     """
-    chance = 0.72 * 2.0 ** -MANTISSA * size_a * size_b / (size_a + size_b) ** 2
-    return max(0.0, ((a == b).mean() - chance) / (1 - chance))
+    chance = 0.72 * 2.0 ** -MANTISSA * size * sizes / (size + sizes) ** 2.0
+    return np.maximum(0.0, ((others == a).mean(axis=1) - chance) / (1 - chance))
 
 
 def profiles(docs: DataFrame) -> DataFrame:
@@ -170,8 +172,9 @@ def confirm(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
                 if under * few < over * many:
                     continue
                 margin = DEVIATIONS * 0.5 / min(REGISTERS, few) ** 0.5
-                seen = estimated_similarity(np.frombuffer(sa, np.uint16), np.frombuffer(sb, np.uint16), na, nb)
-                if seen < over / under - margin:
+                other = np.frombuffer(sb, np.uint16)[None]
+                seen = similarity_estimates(np.frombuffer(sa, np.uint16), other, na, np.array([nb]))
+                if seen[0] < over / under - margin:
                     continue
                 a, b = set_of(rows["text_a"][i]), set_of(rows["text_b"][i])
                 common = len(np.intersect1d(a, b, assume_unique=True))
@@ -232,29 +235,80 @@ def linked_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     tried = stored(small.union(stars).distinct(), "pairs")
     links = stored(confirm(tried, candidates), "links")
     labels = components(links)
-    centres = 1
-    while True:
-        centres *= 4
-        placed = (large.join(labels, "node", "left")
-                  .select("band", "node", "members", F.coalesce("component", "node").alias("component")))
-        open_bands = (placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                      .where("low < high").select("band"))
-        still = stored(placed.join(open_bands, "band", "left_semi"), "open")
-        # A node is a centre of a group with the chance of `centres` in `members`.
-        draw = F.pmod(F.xxhash64("band", "node", F.lit(centres)), F.lit(2 ** 32))
-        chosen = still.where(draw * F.col("members") < F.lit(centres * 2 ** 32)).select(
-            "band", F.col("node").alias("c"), F.col("component").alias("c_component"))
-        pairs = (still.join(chosen, "band").where(F.col("component") != F.col("c_component"))
-                 .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
-        fresh = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.isEmpty():
-            found = stored(confirm(fresh, candidates), "links")
-            tried = tried.union(fresh)
-            if not found.isEmpty():
-                links = links.union(found)
-                labels = components(links)
-        if still.where(F.col("members") > centres).isEmpty():
-            return labels
+    cells = stored(open_cells(large, labels, candidates), "cells")
+    found = stored(cell_links(cells), "links")
+    return labels if found.isEmpty() else components(links.union(found))
+
+
+def open_cells(large: DataFrame, labels: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Members of the groups that the stars left in several components, dealt into square cells.
+
+    Bands that share nodes are one group. Its members are cut into blocks, by number and by bytes;
+    a cell holds two blocks, so that every pair of members meets in one cell of bounded size.
+    """
+    placed = large.join(labels, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("component"))
+    unsettled = (placed.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("b"))
+        .where("low < high").select("band", "b"))
+    still = stored(placed.join(unsettled, "band"), "open")
+    groups = components(still.select(F.col("node").alias("a"), "b").distinct())
+    rows = (still.select("node", "component").distinct()
+            .join(groups.withColumnRenamed("component", "group"), "node").join(candidates, "node"))
+    sizes = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    blocks = sizes.select("group", F.ceil(F.greatest(
+        F.col("n") / BLOCK_ROWS, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = rows.join(blocks, "group").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return (dealt.withColumn("other", other)
+            .select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "node", "component", "n_shingles", "sketch", "text"))
+
+
+def cell_links(cells: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a cell's two blocks that lie in different components.
+
+    One link for each member and component is enough to join them.
+    """
+    over, under = THRESHOLD
+
+    def run(key, rows):
+        rows = rows.to_pydict()
+        hashes = WordHashes()
+        i, j = key[1].as_py(), key[2].as_py()
+        left = [k for k, b in enumerate(rows["block"]) if b == i]
+        right = [k for k, b in enumerate(rows["block"]) if b == j]
+        sets = [shingle_set(raw, hashes) for raw in rows["text"]]
+        component, size = np.array(rows["component"]), np.array(rows["n_shingles"], np.int64)
+        sketches = np.array([np.frombuffer(s, np.uint16) for s in rows["sketch"]])
+        a, b = [], []
+        if left and right:
+            right = np.array(right)
+            codes = np.concatenate([sets[k] for k in right])
+            owner = np.repeat(np.arange(len(right)), [len(sets[k]) for k in right])
+            order = np.argsort(codes, kind="stable")
+            codes, owner = codes[order], owner[order]
+            exact = np.array([len(sets[k]) for k in right])
+        for k in left if len(right) else ():
+            low = np.minimum(size[k], size[right])
+            seen = similarity_estimates(sketches[k], sketches[right], size[k], size[right])
+            margin = DEVIATIONS * 0.5 / np.sqrt(np.minimum(REGISTERS, low))
+            likely = (component[right] != component[k]) & (seen >= over / under - margin)
+            if not likely.any():
+                continue
+            first, last = (np.searchsorted(codes, sets[k], side) for side in ("left", "right"))
+            many = last - first
+            places = np.repeat(first - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
+            common = np.bincount(owner[places], minlength=len(right))
+            linked = likely & (under * common >= over * (len(sets[k]) + exact - common))
+            _, one = np.unique(component[right[linked]], return_index=True)
+            for at in right[linked][one]:
+                a.append(rows["node"][k])
+                b.append(rows["node"][at])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return cells.groupBy("group", "i", "j").applyInArrow(run, "a long, b long")
 
 
 # --- The operator ----------------------------------------------------------------
