@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dups, quality, token_files
+from . import (
+    decontaminate, html_text, licenses, mixing, near_dups, personal_data, quality, token_counts, token_files,
+    web_archive,
+)
 from .shared import table
 from .sql import ORACLE_SQL
 
@@ -18,12 +21,29 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_web_archive(spark: SparkSession, d: str) -> DataFrame:
+    return web_archive.archive_and_read_back(table(spark, d, "pages"))
+
+
+def op2_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    vocabulary = token_counts.sentencepiece_vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, d, "documents"), vocabulary)
+
+
+def op3_personal_data(spark: SparkSession, d: str) -> DataFrame:
+    return personal_data.find_personal_data(table(spark, d, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     verdicts = quality.quality_verdicts(table(spark, d, "documents"), table(spark, d, "labels"))
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                            "n_repeat_words", "base_failed", "kept")
 
 
+def op5_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, d, "pages"))
+
+
 def op6_token_planes(spark: SparkSession, d: str) -> DataFrame:
     return token_files.encode_and_read_back(table(spark, d, "documents"), tokenizer_path())
 
@@ -42,8 +62,13 @@ def op9_source_mix(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.license_scan(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op4_quality_rules, op6_token_planes, op7_near_duplicates, op8_decontamination, op9_source_mix,
+        op1_web_archive, op2_token_counts, op3_personal_data, op4_quality_rules, op5_main_text, op6_token_planes,
+        op7_near_duplicates, op8_decontamination, op9_source_mix, op10_license_scan,
     )
 }

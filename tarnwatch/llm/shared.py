@@ -66,7 +66,8 @@ class SharedWriter:
         self.name = f"{uuid.uuid4().hex}{suffix}"
         fs, inside = file_system(folder)
         fs.create_dir(inside, recursive=True)
-        self._stream = fs.open_output_stream(posixpath.join(inside, self.name))
+        # The name must not make Arrow compress once more.
+        self._stream = fs.open_output_stream(posixpath.join(inside, self.name), compression=None)
         self.position = 0
 
     def write(self, data: bytes) -> tuple[int, int]:

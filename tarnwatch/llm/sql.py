@@ -73,7 +73,20 @@ SELECT doc_id, size, source_size, target, CAST(passes * size + greatest(0, least
   budget - passes * source_size - ahead)) AS BIGINT) AS taken FROM p
 """
 
+_WEB_ARCHIVE = """
+WITH d AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hex FROM pages),
+f AS (SELECT hex, min(page_id) AS first_id FROM d GROUP BY 1)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(d.hex, 1 + i * 5 // 4, 2) AS INT) >> CAST(3 - (5 * i) % 4 AS INT)) & 31), 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d JOIN f USING (hex)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_web_archive": _WEB_ARCHIVE,
     "op7_near_duplicates": _NEAR_DUPLICATES,
     "op8_decontamination": _DECONTAMINATION,
     "op9_source_mix": _SOURCE_MIX,

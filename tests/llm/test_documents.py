@@ -1,0 +1,214 @@
+"""Archive, token counts, personal data, page text and licences against brute force."""
+
+import base64
+import hashlib
+import random
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tarnwatch.llm import html_text, licenses, personal_data, token_counts, web_archive
+from tarnwatch.llm.registry import tokenizer_path
+
+ODD = [None, "", "  \n ", "one", "x y z", "x y z", "long " * 40_000]
+PAGES = "page_id long, url string, html string, row_key string, digest string, key int, payload string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "k", "d", 1, "p") for r in rows], PAGES)
+
+
+# --- archive ---------------------------------------------------------------------------
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_archive(spark, block):
+    rows = [(i, f"https://www.a{i % 3}.org:8080/x?{i % 4}#f", f"<p>é {i % 5}</p>") for i in range(40)]
+    rows += [(50, None, None), (51, "", ""), (52, "no scheme", "\r\n\r\n"), (None, "http://b.org", "<p>é 1</p>"),
+             (53, "http://u@c.org/long", "z" * 3_000_000), (54, "http://d.org/a\r\nb", "x")]
+    rows += [rows[3], rows[3], (3, "http://other.org", "<p>é 3</p>")]
+    got = web_archive.archive_and_read_back(pages(spark, rows).repartition(3), block_lines=block).collect()
+    first, want = {}, []
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        if page_id is not None:
+            first[data] = min(page_id, first.get(data, page_id))
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        refers = None if first.get(data) == page_id else first.get(data)
+        want.append((page_id, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
+                     "response" if refers is None else "revisit", refers))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert web_archive.archive_and_read_back(pages(spark, [])).count() == 0
+
+
+def test_short_payloads_are_responses(spark):
+    rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")]
+    got = web_archive.archive_and_read_back(pages(spark, rows), least_bytes=3).collect()
+    assert {r.page_id: r.record_type for r in got} == {1: "response", 2: "response", 3: "response", 4: "revisit"}
+
+
+def test_url_keys(spark):
+    urls = ["http://www.Example.org/A?b=1#c", "https://x@m.a.b:81/p", "http://www2.a", None]
+    got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(web_archive.url_key("u")).collect()]
+    assert got == ["org,example)/A?b=1", "b,a,m):81/p", "a)", ""]
+
+
+# --- token counts ------------------------------------------------------------------------
+
+def unigram(vocabulary):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    tokenizer = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback="<0x00>" in dict(vocabulary)))
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Metaspace(prepend_scheme="always")])
+    return tokenizer
+
+
+VOCABULARY = token_counts.sentencepiece_vocabulary(tokenizer_path("piece_bpe_32k.model"))
+SMALL = [("<unk>", 0.0), ("▁", -2.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁a", -3.0), ("ba", -2.0), ("aba", -3.0)]
+
+
+def test_token_counts(spark, documents):
+    texts = [*ODD, "It's <unk> ▁x▁▁y 世界🎉 café\x1cb\x85c　d", "ñandú <0x41> " * 30, "a" * 3000]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    tokenizer = unigram(VOCABULARY)
+    got = token_counts.token_counts(documents(texts), VOCABULARY).collect()
+    want = {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_pieces for r in got} == want
+
+
+@given(st.text(alphabet="ab c▁\x1dé", max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_ties_and_unknowns(text):
+    counter = token_counts.PieceCounter(SMALL)
+    assert sum(counter[w] for w in token_counts.words_of(text)) == len(unigram(SMALL).encode(text).ids)
+
+
+# --- personal data -------------------------------------------------------------------------
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def slow_check(kind, span):
+    n = re.sub("[^0-9]", "", span)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in span.split("."))
+    if kind == "phone":
+        return 10 <= len(n) <= 15
+    if kind == "card":
+        total = sum(v if v < 10 else v - 9 for v in (int(c) * (1 + i % 2) for i, c in enumerate(reversed(n))))
+        return 14 <= len(n) <= 19 and total % 10 == 0
+    return True
+
+
+def slow_spans(text):
+    found = [(m.start(), i, m.end(), kind) for i, (kind, p) in enumerate(PATTERNS.items())
+             for m in re.finditer(p, text or "") if slow_check(kind, m[0])]
+    return [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found)]
+
+
+def test_personal_data(spark, documents):
+    rng = random.Random(4)
+    texts = [*ODD, "é🎉 a@b.c_d@e.f, x.y+z%@q-w.com.", "@a.b a@ a@b a@b. ..@x.y", "1.2.3.4.5 256.1.1.1 00012.3.4.5 1.2.3",
+             "4111 1111 1111 1111 4111-1111-1111-1112 0" + "1" * 40, "+1 (555) 123-4567 +44 20 7946 0958 +1+2 345 678 9012",
+             "a" * 50_000 + "@" + "b.c" * 3, "7" * 50_000, "call jim [at] host [dot] org or 555-123-4567"]
+    texts += ["".join(rng.choice("a1.@+ -()5é\n") for _ in range(300)) for _ in range(150)]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts.append(texts[7])
+    ids = [*range(len(texts) - 1), None]
+    for r in personal_data.find_personal_data(documents(texts, doc_id=ids)).collect():
+        want = slow_spans(texts[r.doc_id if r.doc_id is not None else 7])
+        counts = [sum(s.startswith(k) for s in want) for k in PATTERNS]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert set(want) <= set(r.spans.split(",")) | {""}
+    assert personal_data.find_personal_data(documents([])).count() == 0
+
+
+def test_reliabilities():
+    """A labeler that contradicts three others is found out."""
+    counts = {("card", (1, 1, 1, 0)): 80, ("card", (0, 0, 0, 1)): 60, ("card", (1, 1, -1, 1)): 5, ("card", (0, 0, 0, 0)): 5}
+    belief, reliable = personal_data.estimate_reliabilities(counts)
+    assert belief["card", (1, 1, 1, 0)] > 0.9 and belief["card", (0, 0, 0, 1)] < 0.1
+    assert reliable["card", "vote_pattern"] > 0.9 > reliable["card", "vote_context"]
+    weights = personal_data.train_classifier([("card", (1, 0), 0.95, 50), ("card", (0, 1), 0.05, 50)])
+    assert weights["card"][1] > 0 > weights["card"][2]
+
+
+# --- pages -----------------------------------------------------------------------------------
+
+ARTICLE = "<h1>Title &amp; more</h1><p>First  line<br>goes\non &eacute;&#8212;x</p><div><p>Short.</p><p>" + "word " * 50 + "</p></div>"
+TEXT = "Title & more\n\nFirst line goes on é—x\n\nShort.\n\n" + ("word " * 50).strip()
+AROUND = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t=\"</p>\";</script></head><body>"
+          "<nav><ul><li><a href='/'>Home page of all</a></li></ul></nav><!-- <p>no</p> --><div class=\"ad\">Buy this now, it is "
+          "very good.</div><div id='cookie-notice'><p>We use cookies on this site.</p></div>BODY"
+          "<aside><p>Related things to read here</p></aside><form><p>Name</p><input></form><div class='comments'>"
+          "<p>I think that this is a very long comment by a reader of the page.</p></div><footer>&copy; me</footer></body></html>")
+
+
+def around(body):
+    return AROUND.replace("BODY", body)
+
+
+@pytest.mark.parametrize("page,want", [
+    (None, ""), ("", ""), ("<p></p>", ""), ("just text", "just text"), ("a < b & c", "a < b & c"),
+    (around(f"<article>{ARTICLE}</article>"), TEXT),
+    (around(f"<main>{ARTICLE}<div class='share'>Share me</div></main>"), TEXT),
+    (around(f"<div>{ARTICLE}</div>"), TEXT),
+    ("<article><p>One</p><nav>open <p>Two", "One\n\nopen\n\nTwo"),
+    ("<article><p>One</p><!-- never closed <p>Two</p>", "One"),
+    ("<p>" + "x" * 200_000 + "</p>", "x" * 200_000),
+])
+def test_main_text(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_pages_of_the_table(spark):
+    import html
+    table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    source = {r.page_id: r.html for r in table.collect()}
+    for r in html_text.extract_main_text(table).collect():
+        inner = re.search("<article>(.*?)</article>", source[r.page_id], re.S)[1]
+        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", "", b.replace("<br>", " ")))).strip()
+                  for b in re.split("</?(?:p|h1)>", inner)]
+        assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+def test_many_open_brackets_stay_linear():
+    assert html_text.main_text("<p>text" + "<a " * 30_000 + "<!-" * 30_000).startswith("text")
+
+
+# --- licences --------------------------------------------------------------------------------------
+
+def test_license_scan(spark, documents):
+    rng = random.Random(6)
+    filler = ["under the sun of the public license office this version is subject to change", "the work is free"]
+    def prose():
+        return " ".join(rng.choice("this is the work of under a to and license version public terms".split()) for _ in range(30))
+    notices = [(f, t) for f, texts in licenses.NOTICES.items() for t in texts]
+    texts = [f"{prose()}\n{t}\n{prose()}" for _, t in notices] + [t.upper() + " " + prose() for _, t in notices[:3]]
+    texts += [*ODD, *filler, *[prose() for _ in range(200)], notices[0][1] + "\n" + notices[0][1]]
+    got = {r.doc_id: r for r in license_rows(documents(texts))}
+    right = sum(got[i].families == f for i, (f, _) in enumerate(notices))
+    assert right >= len(notices) - 1
+    clean = range(len(notices) + 3, len(texts) - 1)
+    assert sum(got[i].n_notices > 0 for i in clean) <= 0.02 * len(clean)
+    assert got[len(texts) - 1].n_notices == 2 and got[len(texts) - 1].families == "MIT"
+    assert license_rows(documents([])) == []
+
+
+def license_rows(docs):
+    return licenses.license_scan(docs).collect()
+
+
+def test_license_of_the_table(spark):
+    """Held-out accuracy: the notices that stand in the given documents."""
+    line = {"This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+            "Licensed under CC BY-NC 4.0.": "CC-BY-NC", "Released under the MIT License.": "MIT",
+            "Licensed under the Apache License, Version 2.0.": "Apache-2.0"}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in license_rows(docs):
+        assert r.families == ",".join(sorted({line[x] for x in text[r.doc_id].split("\n") if x in line}))
