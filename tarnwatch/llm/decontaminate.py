@@ -2,13 +2,16 @@
 
 A window is 13 consecutive words of an item (all words of a shorter item). Windows and documents
 are seen as sets of word shingles; a window can only occur in a document that holds all of its
-shingles, so its prefix is one shingle: the rarest in the documents. The shingles of all items
-are counted over all documents; windows with a shingle that occurs nowhere are out, the others
-are joined by their rarest shingle alone. Its position fixes where the window would begin,
-and the lengths of text and item bound it. What is left is compared word by word.
+shingles, so its prefix is one shingle: the rarest in the documents. One scan reduces the documents
+to the shingles that any item has, each with the few words around it that a window through it
+can cover. They are counted; windows with a shingle that occurs nowhere are out, the others are
+joined by their rarest shingle alone. Its position fixes where the window would begin, the lengths
+of text and item bound it, and what is left is compared word by word.
 
-Tables made from the benchmark are written before they are joined, so that Spark knows their size
-and broadcasts them only below its own threshold; else the join is shuffled.
+The scan first asks for a shingle's bucket of BUCKETS (a list of at most so many numbers, whatever
+the benchmark's size) and then joins what passes. Tables made from the benchmark are written before
+they are joined, so that Spark knows their size and broadcasts them only below its own threshold;
+else the join is shuffled.
 
 Defined cases: null and empty texts have no words and are never hit; an item without words has no
 windows; repeated item_ids are one item, a null one is named "null"; copies of a document get
@@ -25,7 +28,8 @@ from pyspark.sql import functions as F
 from ..operators.bounded import stored
 from .shared import keyed, row_key
 
-WINDOW, SHINGLE = 13, 3
+WINDOW, SHINGLE = 13, 5
+BUCKETS = 1 << 16
 #: All that is no word: a word has digits, letters and characters beyond ASCII.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -38,8 +42,8 @@ def ascii_lower(text: Column) -> Column:
 
 
 def words_of(text: str | Column) -> Column:
-    """The words of a text, letters as they are; an empty array for null."""
-    cut = F.split(F.coalesce(text, F.lit("")), SEPARATORS)
+    """The words of a text, A-Z in lower case; an empty array for null."""
+    cut = F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS)
     first = F.when(F.element_at(cut, 1) == "", 2).otherwise(1)
     last = F.when(F.element_at(cut, -1) == "", F.size(cut) - 1).otherwise(F.size(cut))
     return F.slice(cut, first, F.greatest(last - first + 1, F.lit(0)))
@@ -47,10 +51,9 @@ def words_of(text: str | Column) -> Column:
 
 def item_words(benchmark: DataFrame) -> DataFrame:
     """(item_id, item_words, n, length, step): length of a window, words of a shingle."""
-    words = F.transform(words_of(F.col("text")), ascii_lower)
     return (
         benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"),
-                         words.alias("item_words"))
+                         words_of(F.col("text")).alias("item_words"))
         .withColumn("n", F.size("item_words")).where("n > 0").distinct()
         .withColumn("row", F.xxhash64("item_id", "item_words"))
         .withColumn("length", F.least(F.lit(WINDOW), F.col("n")))
@@ -58,45 +61,62 @@ def item_words(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def document_shingles(docs: DataFrame, steps: list[int], *keep: Column) -> DataFrame:
-    """(keep, place, shingle, n_words) for every position and shingle length."""
-    words = docs.select(*keep, words_of(F.col("text")).alias("words"))
-    placed = words.select("*", F.posexplode("words").alias("place", "word"))
-    parts = []
-    for step in steps:
-        following = [F.get("words", F.col("place") + i) for i in range(step)]
-        parts.append(placed.where(F.col("place") + step <= F.size("words")).select(
-            *[k for k in words.columns if k != "words"], "place", F.size("words").alias("n_words"),
-            ascii_lower(F.concat_ws(" ", *following)).alias("shingle")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out
+def item_shingles(items: DataFrame) -> DataFrame:
+    """(row, at, step, shingle) for every place of every item."""
+    each = F.transform(F.sequence(F.lit(0), F.col("n") - F.col("step")),
+                       lambda i: F.array_join(F.slice("item_words", i + 1, F.col("step")), " "))
+    return items.select("row", "step", F.posexplode(each).alias("at", "shingle"))
+
+
+def bucket(*words: Column) -> Column:
+    return F.pmod(F.xxhash64(*words), F.lit(BUCKETS))
 
 
-def rarest_shingles(docs: DataFrame, items: DataFrame, steps: list[int]) -> DataFrame:
-    """(shingle, row, item_id, at, first, last, length, n): the prefix of every window that may occur.
+def known_shingles(docs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """(row_key, place, n_words, shingle, left, context): document shingles that some item has.
+
+    `context` holds the words that windows through the shingle may cover, `left` of them before it.
+    """
+    vocabulary = stored(shingles.select("step", "shingle").distinct(), "vocabulary")
+    parts = F.split("shingle", " ")
+    asked: dict[int, list[int]] = {}  # at most SHINGLE lists of at most BUCKETS numbers
+    for step in range(1, SHINGLE + 1):
+        own = vocabulary.where(F.col("step") == step)
+        rows = own.select(bucket(*[F.get(parts, F.lit(i)) for i in range(step)])).distinct().collect()
+        if rows:
+            asked[step] = sorted(r[0] for r in rows)
+    words = docs.select(row_key().alias("row_key"), words_of(F.col("text")).alias("words"))
+    placed = words.select("*", F.posexplode("words").alias("place", "word"))
+    place, size = F.col("place"), F.size("words")
+    found = None
+    for step, buckets in asked.items():
+        own = [F.col("word"), *[F.get("words", place + i) for i in range(1, step)]]
+        reach = WINDOW - step
+        left = F.least(place, F.lit(reach))
+        part = placed.where((place + step <= size) & bucket(*own).isin(buckets)).select(
+            "row_key", "place", size.alias("n_words"), F.concat_ws(" ", *own).alias("shingle"),
+            left.alias("left"), F.slice("words", place - left + 1, left + step + reach).alias("context"))
+        found = part if found is None else found.unionAll(part)
+    return found.join(vocabulary.select("shingle"), "shingle")
+
+
+def rarest_shingles(shingles: DataFrame, items: DataFrame, known: DataFrame) -> DataFrame:
+    """(shingle, row, item_id, length, at, first, last): the prefix of every window that may occur.
 
     Windows of an item that share their rarest shingle, at the same place, are one row with the
     first and last start.
     """
-    shingles = stored(items.select("row", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.col("n") - F.col("step")),
-        lambda i: F.array_join(F.slice("item_words", i + 1, F.col("step")), " "))).alias("at", "shingle")),
-        "item-shingles")
-    vocabulary = stored(shingles.select("shingle").distinct(), "vocabulary")
-    counts = (document_shingles(docs, steps).select("shingle").join(vocabulary, "shingle")
-              .groupBy("shingle").agg(F.count("*").alias("seen")))
+    counts = known.groupBy("shingle").agg(F.count("*").alias("seen"))
     counted = stored(shingles.join(counts, "shingle", "left").fillna(0, ["seen"]), "counted")
     windows = items.select(
-        "row", "item_id", "length", "step", "n",
+        "row", "item_id", "length", "step",
         F.explode(F.sequence(F.lit(0), F.col("n") - F.col("length"))).alias("start"))
     inside = windows.withColumn("at", F.explode(
-        F.sequence(F.col("start"), F.col("start") + F.col("length") - F.col("step"))))
-    rarest = inside.join(counted, ["row", "at"]).groupBy("row", "item_id", "length", "n", "start").agg(
+        F.sequence(F.col("start"), F.col("start") + F.col("length") - F.col("step")))).drop("step")
+    rarest = inside.join(counted, ["row", "at"]).groupBy("row", "item_id", "length", "start").agg(
         F.min(F.struct("seen", "at", "shingle")).alias("rarest"))
     return (rarest.where("rarest.seen > 0")
-            .groupBy("row", "item_id", "length", "n", F.col("rarest.at").alias("at"),
+            .groupBy("row", "item_id", "length", F.col("rarest.at").alias("at"),
                      F.col("rarest.shingle").alias("shingle"))
             .agg(F.min("start").alias("first"), F.max("start").alias("last")))
 
@@ -107,31 +127,23 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     `from` is the document place of the item's first word, `starts` the item places of the windows.
     """
     items = stored(item_words(benchmark), "items")
-    steps = [r[0] for r in items.select("step").distinct().orderBy("step").collect()]  # at most SHINGLE
-    if not steps:
-        return docs.sparkSession.createDataFrame(
-            [], "row_key string, item_id string, `from` int, length int, starts array<int>")
-    prefix = stored(rarest_shingles(docs, items, steps), "prefix")
+    if items.isEmpty():
+        return docs.select(row_key().alias("row_key"), F.lit("").alias("item_id"), F.lit(0).alias("from"),
+                           F.lit(0).alias("length"), F.array(F.lit(0)).alias("starts")).where("false")
+    shingles = stored(item_shingles(items), "item-shingles")
+    known = stored(known_shingles(docs, shingles), "known")
+    prefix = stored(rarest_shingles(shingles, items, known), "prefix")
     origin = F.col("place") - F.col("at")
     bounded = (
-        document_shingles(docs, steps, row_key().alias("row_key")).join(prefix, "shingle")
-        .select("row_key", "row", "item_id", "length", origin.alias("from"),
-                F.greatest(F.col("first"), -origin).alias("first"),
-                F.least(F.col("last"), F.col("n_words") - F.col("length") - origin).alias("last"))
-        .where("first <= last").distinct())
-    candidates = stored(bounded, "candidates")
-    held = docs.select(row_key().alias("row_key"), F.col("text").alias("text"))
-    named = candidates.select("row_key").distinct()
-    # Copies of a row are one text; candidates meet it once.
-    texts = stored(held.join(named, "row_key", "left_semi").dropDuplicates(["row_key"]), "texts")
-    both = (candidates.join(texts.withColumn("words", words_of(F.col("text"))).drop("text"), "row_key")
-            .join(items.select("row", "item_words"), "row"))
-    part = F.transform(F.slice("words", F.col("from") + F.col("first") + 1,
-                               F.col("last") - F.col("first") + F.col("length")), ascii_lower)
-    equal = F.filter(F.sequence("first", "last"), lambda s: F.slice(
-        "part", s - F.col("first") + 1, F.col("length")) == F.slice("item_words", s + 1, F.col("length")))
-    return (both.withColumn("part", part).withColumn("starts", equal).where(F.size("starts") > 0)
-            .select("row_key", "item_id", "from", "length", "starts"))
+        known.join(prefix, "shingle")
+        .select("*", origin.alias("from"), F.greatest(F.col("first"), -origin).alias("low"),
+                F.least(F.col("last"), F.col("n_words") - F.col("length") - origin).alias("high"))
+        .where("low <= high").join(items.select("row", "item_words"), "row"))
+    equal = F.filter(F.sequence("low", "high"), lambda s: F.slice(
+        "context", F.col("from") + s - F.col("place") + F.col("left") + 1, F.col("length")
+    ) == F.slice("item_words", s + 1, F.col("length")))
+    return (bounded.withColumn("starts", equal).where(F.size("starts") > 0)
+            .select("row_key", "item_id", "from", "length", "starts").distinct())
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
