@@ -129,7 +129,7 @@ class WordEncoder:
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_str(tokenizer_json)
-        self._known: dict[str, bytes] = {}
+        self._known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [t.encode().split() if t else [] for t in texts]
@@ -138,13 +138,22 @@ class WordEncoder:
         if len(known) + len(new) > REMEMBER:
             known.clear()
             new = list({w for words in split for w in words})
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            found = self._tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found))
+        for at in range(0, len(new), 500):
+            self._learn([w.decode() for w in new[at:at + 500]])
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
 
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode words as one text; a token belongs to the word in which it begins."""
+        found = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.concatenate([[0], np.cumsum(lengths + 1)])
+        begins = np.array([o[0] for o in found.offsets], np.int64)
+        ids = np.array(found.ids, "<u4").tobytes()
+        cuts = (4 * np.searchsorted(begins, starts)).tolist()
+        self._known.update((w.encode(), ids[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
+
+
 # --- The operator ------------------------------------------------------------------------
 
 def write_token_files(docs: DataFrame, tokenizer_json: str, folder: str, end_id: int = END_ID,
