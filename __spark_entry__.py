@@ -83,7 +83,7 @@ def _benchmark_questions(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "benchmark").select(
         F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("question_id"),
         F.col("text").alias("question"),
-        question_words("text", 6).alias("keywords"))
+        question_words("text").alias("keywords"))
 
 
 def _sample_questions(spark: SparkSession) -> DataFrame:

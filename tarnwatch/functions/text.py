@@ -61,10 +61,10 @@ def keyword_score(text_clean: Column, keywords: list[str]) -> Column:
     return reduce(lambda a, b: a + b, points, F.lit(0))
 
 
-def question_words(text: str | Column, min_length: int = 4) -> Column:
-    """Distinct lower-cased words of a question, punctuation removed."""
+def question_words(text: str | Column) -> Column:
+    """Distinct lower-cased words of a question, punctuation removed; every word counts."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    return F.array_distinct(F.filter(words, lambda w: F.length(w) >= min_length))
+    return F.array_distinct(words)
 
 
 def chunk_key() -> Column:

@@ -73,21 +73,19 @@ def fit_forest(df: DataFrame, features: list[str], key: str = "incident_id", tre
     """Node table of a forest; each tree sees `sample_size` rows drawn without replacement.
 
     Draws are hashes of seed, tree and row key, so the forest does not depend on how
-    the data is partitioned. A first hash thins the table to a pool in the scan.
+    the data is partitioned. Every tree draws from the whole table, at any size: the scan
+    keeps a row for the trees that drew it, about `sample_size` times MARGIN rows a tree.
     """
     n = df.count()
     if n == 0:
         raise ValueError("no rows to fit on")
-    pool = max(trees * sample_size * MARGIN, 50 * sample_size)
     vectors = df.select(F.col(key).alias("_key"), F.array(*feature_vector(features)).alias("x"))
-    if n > pool:
-        vectors = vectors.where(_unit_hash(F.col("_key"), F.lit(seed)) < pool / n)
-    share = min(1.0, sample_size * MARGIN / min(n, pool))
+    share = min(1.0, sample_size * MARGIN / n)
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
+                     lambda t: _unit_hash(F.col("_key"), t, F.lit(seed + 1)) < share)
     draws = (
-        vectors.select("_key", "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-                       .alias("tree_id"))
+        vectors.select("_key", "x", F.explode(drawn).alias("tree_id"))
         .withColumn("_draw", _unit_hash(F.col("_key"), F.col("tree_id"), F.lit(seed + 1)))
-        .where(F.col("_draw") < share)
     )
     sample = top_k(draws, ["tree_id"], [F.col("_draw"), F.col("_key")], sample_size, "_place")
 

@@ -28,15 +28,26 @@ def order_statistics(df: DataFrame, column: str, ranks: list[int]) -> dict[int,
     holds the rank, until the bin is one value or few enough rows to read.
     """
     found: dict[int, float] = {}
-    low, high = df.agg(F.min(column), F.max(column)).first()
-    pending = [(low, high, 0, sorted(set(ranks)))]
+    endless = float("inf")
+    finite = F.when(F.abs(column) < endless, F.col(column))
+    low, high, n, below, _ = df.agg(
+        F.min(finite), F.max(finite), F.count(finite),
+        F.count(F.when(F.col(column) == -endless, 1)), F.count("*")).first()
+    # Infinite values are counted aside; bins cover the finite ones.
+    found.update((r, -endless) for r in ranks if r < below)
+    found.update((r, endless) for r in ranks if r >= below + n)
+    inner = sorted({r for r in ranks if below <= r < below + n})
+    pending = [(low, high, below, inner)] if inner else []
     while pending:
         low, high, below, wanted = pending.pop()
         if low == high:
             found.update((r, low) for r in wanted)
             continue
         inside = df.where(F.col(column).between(low, high))
-        spot = F.floor((F.col(column) - F.lit(low)) / F.lit(high - low) * BINS)
+        # Wide intervals are cut on a logarithmic scale: a round leaves a small factor of them.
+        wide = high - low > 1e6
+        scale, ends = (F.asinh(F.col(column)), (math.asinh(low), math.asinh(high))) if wide else (F.col(column), (low, high))
+        spot = F.floor((scale - F.lit(ends[0])) / F.lit(ends[1] - ends[0]) * BINS)
         bins = (
             inside.groupBy(F.least(spot, F.lit(BINS - 1)).alias("bin"))
             .agg(F.min(column).alias("low"), F.max(column).alias("high"),

@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 
 from ..constants import RETRIEVE_K
 from ..functions.text import chunk_key, clean_text, explode_chunks, keyword_score
-from .bounded import bounded_rows, join_small, spread, stored
+from .bounded import bounded_rows, spread, stored
 from .ranking import top_k
 
 # Up to this many questions and keywords are written into the scan's expressions.
 INLINE_QUESTIONS = 64
 INLINE_KEYWORDS = 512
+# Keywords of the questions that one scan answers, and chunks scored at a time.
+BLOCK_KEYWORDS = 100_000
+SCORED_ROWS = 2_048
 # Up to this many query vectors are sent to every task.
 INLINE_VECTORS = 1024
 # Rows of a corpus shard that meets a block of query vectors in one task.
@@ -65,21 +68,33 @@ def keyword_hits(chunks: DataFrame, keywords: list[str]) -> DataFrame:
     return scored.where(F.col("score") > 0).orderBy(F.col("score").desc(), "id")
 
 
+def question_keywords(questions: DataFrame) -> DataFrame:
+    """(question_id, keyword): lower case, no nulls, no empty ones, each once."""
+    return (
+        questions.select("question_id", F.explode("keywords").alias("keyword"))
+        .select("question_id", F.lower("keyword").alias("keyword"))
+        .where(F.length("keyword") > 0).distinct()
+    )
+
+
 def score_questions(chunks: DataFrame, questions: DataFrame) -> DataFrame:
     """question_id, id and score of every chunk that contains a keyword of a question."""
-    rows = bounded_rows(questions.select("question_id", "keywords"), INLINE_QUESTIONS)
-    if rows is not None and sum(len(r.keywords or []) for r in rows) <= INLINE_KEYWORDS:
+    wanted = question_keywords(questions)
+    rows = bounded_rows(wanted, INLINE_KEYWORDS)
+    if rows is not None and len({r.question_id for r in rows}) <= INLINE_QUESTIONS:
         return _score_inline(chunks, rows)
-    return _score_by_join(chunks, questions)
+    return _score_by_join(chunks, wanted)
 
 
 def _score_inline(chunks: DataFrame, rows: list) -> DataFrame:
     """Few questions: all scores of a chunk are computed in the scan, without a join."""
+    words: dict[str, list[str]] = {}
+    for r in rows:
+        words.setdefault(r.question_id, []).append(r.keyword)
     scores = [
-        F.struct(F.lit(r.question_id).alias("question_id"),
-                 keyword_score(F.col("text_clean"), sorted({w.lower() for w in r.keywords}))
-                 .alias("score"))
-        for r in rows if r.keywords
+        F.struct(F.lit(question).alias("question_id"),
+                 keyword_score(F.col("text_clean"), sorted(own)).alias("score"))
+        for question, own in sorted(words.items())
     ]
     if not scores:
         return chunks.sparkSession.createDataFrame([], "id string, question_id string, score int")
@@ -90,18 +105,13 @@ def _anchor_length(word_length: Column) -> Column:
     return F.when(word_length >= 6, 6).when(word_length >= 4, 4).otherwise(word_length)
 
 
-def _score_by_join(chunks: DataFrame, questions: DataFrame) -> DataFrame:
+def _score_by_join(chunks: DataFrame, wanted: DataFrame) -> DataFrame:
     """Many questions: substring search as an equi-join on the first letters of a keyword.
 
     Every text position offers its next characters under prefixes of at most five
     lengths; a keyword joins on its own prefix and is then compared in full. Spark
     broadcasts the keywords while they are small and splits hot prefixes when not.
     """
-    wanted = (
-        questions.select("question_id", F.explode("keywords").alias("keyword"))
-        .select("question_id", F.lower("keyword").alias("keyword"))
-        .where(F.length("keyword") > 0).distinct()
-    )
     words = wanted.select("keyword").distinct().withColumn(
         "anchor", F.col("keyword").substr(F.lit(1), _anchor_length(F.length("keyword"))))
     # At most five lengths and one number, whatever the vocabulary.
@@ -132,6 +142,69 @@ def _score_by_join(chunks: DataFrame, questions: DataFrame) -> DataFrame:
     )
 
 
+def best_chunks(chunks: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """question_id, id, score of about `k` best chunks per question and task; no pair is shuffled.
+
+    The chunks stay where they are and are scanned once per block of questions. A block has
+    about BLOCK_KEYWORDS keywords, whatever the number of questions; it goes to every task.
+    """
+    schema = "question_id string, id string, score int"
+    wanted = stored(question_keywords(questions), "keywords")
+    blocks = math.ceil(wanted.count() / BLOCK_KEYWORDS)
+    spot = F.pmod(F.xxhash64("question_id"), F.lit(max(1, blocks)))
+    out = chunks.sparkSession.createDataFrame([], schema)
+    for b in range(blocks):
+        rows = wanted.where(spot == b).collect()
+        if not rows:
+            continue
+        block = chunks.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
+        out = out.unionAll(chunks.select("id", "text_clean").mapInArrow(_best_of(block, k), schema))
+    return out
+
+
+def _best_of(block, k: int):
+    """Scan function: keywords found by one automaton, best chunks kept per question."""
+    def scan(batches):
+        import ahocorasick
+        names = sorted({q for q, _ in block.value})
+        place = {q: i for i, q in enumerate(names)}
+        asking: dict[str, list[int]] = {}
+        for question, word in block.value:
+            asking.setdefault(word, []).append(place[question])
+        finder = ahocorasick.Automaton()
+        owners = []
+        for word, own in asking.items():
+            finder.add_word(word, len(owners))
+            owners.append(np.array(own))
+        finder.make_automaton()
+        held = [[] for _ in names]
+        for batch in batches:
+            for start in range(0, batch.num_rows, SCORED_ROWS):
+                part = batch.slice(start, SCORED_ROWS)
+                ids = part.column("id").to_pylist()
+                scores = np.zeros((len(ids), len(names)), np.int64)
+                for i, text in enumerate(part.column("text_clean").to_pylist()):
+                    found = {w for _, w in finder.iter(text or "")}
+                    if found:
+                        scores[i] = np.bincount(np.concatenate([owners[w] for w in found]), minlength=len(names))
+                # One number orders a slice: score first, then the lower id.
+                rank = np.empty(len(ids), np.int64)
+                rank[sorted(range(len(ids)), key=ids.__getitem__, reverse=True)] = np.arange(len(ids))
+                order = scores * len(ids) + rank[:, None]
+                best = np.argpartition(order, -k, axis=0)[-k:] if len(ids) > k else np.arange(len(ids))[:, None]
+                for q in range(len(names)):
+                    rows = best[:, min(q, best.shape[1] - 1)]
+                    new = [(-int(scores[i, q]), ids[i]) for i in rows if scores[i, q]]
+                    if new:
+                        held[q] = sorted(held[q] + new)[:k]
+        flat = [(names[q], i, -s) for q, own in enumerate(held) for s, i in own]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[c] for r in flat], kind) for c, kind in enumerate((pa.string(), pa.string(), pa.int32()))],
+            names=["question_id", "id", "score"])
+
+    return scan
+
+
 def retrieve_by_keywords(chunks: DataFrame, questions: DataFrame, k: int = RETRIEVE_K) -> DataFrame:
     """Best `k` chunks per question by keyword score, then id, with their text.
 
@@ -139,11 +212,11 @@ def retrieve_by_keywords(chunks: DataFrame, questions: DataFrame, k: int = RETRI
     scanned again for their text, with a broadcast when the winners are few.
     """
     best = stored(
-        top_k(score_questions(chunks, questions), ["question_id"],
+        top_k(best_chunks(chunks, questions, k), ["question_id"],
               [F.col("score").desc(), F.col("id")], k, "retrieval_rank"),
         "retrieved")
     texts = chunks.select("id", "doc_id", "chunk_id", "text")
-    return join_small(texts, best, "id", "inner")
+    return texts.join(best, "id")
 
 
 def first_chunks(chunks: DataFrame, k: int) -> DataFrame:
@@ -195,13 +268,21 @@ class _Nearest:
         }
 
 
+def usable_vectors(df: DataFrame, column: str = "embedding") -> DataFrame:
+    """Rows whose vector is there, without nulls in it, and as long as most are."""
+    whole = df.where(F.col(column).isNotNull() & ~F.exists(column, lambda x: x.isNull()))
+    usual = whole.groupBy(F.size(column).alias("n")).count().orderBy(F.desc("count"), "n").first()
+    return whole.where(F.size(column) == (usual["n"] if usual else 0))
+
+
 def vector_top_k(corpus: DataFrame, queries: DataFrame, k: int = RETRIEVE_K,
                  inline: int = INLINE_VECTORS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Exact `k` nearest corpus vectors per query by cosine: query_id, vec_id, similarity, rank.
 
     `corpus` has vec_id and embedding, `queries` query_id and embedding, all of one
-    length. Each task keeps k rows per query, so little is shuffled.
+    length; null, ragged or short vectors have no neighbours. Each task keeps k rows per query, so little is shuffled.
     """
+    corpus, queries = usable_vectors(corpus), usable_vectors(queries)
     rows = bounded_rows(queries.select("query_id", "embedding"), inline)
     if rows is not None:
         part = _vectors_inline(corpus, rows, k)

@@ -138,14 +138,13 @@ DOCUMENT_CHUNKS = DOCUMENTS + "," + _chunk_cte("docs", "cut") + "," + _keyed_cte
 CORPUS_CHUNKS = CORPUS + "," + _chunk_cte("docs", "cut") + "," + _keyed_cte("cut", "chunks")
 
 
-def _words(text: str, least: int) -> str:
-    return (f"list_distinct([w FOR w IN regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+') "
-            f"IF length(w) >= {least}])")
+def _words(text: str) -> str:
+    return f"list_distinct(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+'))"
 
 
 BENCHMARK_QUESTIONS = f"""
 questions AS (
-  SELECT 'b' || item_id AS question_id, text AS question, {_words("text", 6)} AS keywords
+  SELECT 'b' || item_id AS question_id, text AS question, {_words("text")} AS keywords
   FROM benchmark)"""
 
 
@@ -158,7 +157,7 @@ def _values(rows: list[tuple[str, str]]) -> str:
 _SAMPLES = [(f"q{i}", q) for i, q in enumerate(C.SAMPLE_QUESTIONS + C.ASSISTANT_QUESTIONS, 1)]
 SAMPLE_QUESTIONS = f"""
 questions AS (
-  SELECT question_id, question, {_words("question", 4)} AS keywords
+  SELECT question_id, question, {_words("question")} AS keywords
   FROM ({_values(_SAMPLES)}) v(question_id, question))"""
 ALL_QUESTIONS = f"""
 asked AS (
@@ -250,7 +249,7 @@ contexts AS (
 
 _KB_QUESTIONS = f"""
 questions AS (
-  SELECT question_id, question, {_words("question", 4)} AS keywords FROM routed
+  SELECT question_id, question, {_words("question")} AS keywords FROM routed
   WHERE list_contains(tools, 'search_knowledge_base'))"""
 _BULLET = "string_agg('- ' || text || chr(10), ''"
 _KB_KEYWORDS = (f"SELECT question_id, {_BULLET} ORDER BY retrieval_rank) AS bullets "

@@ -103,17 +103,19 @@ def require_not_null(df: DataFrame, columns: list[str]) -> None:
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, content: Column) -> DataFrame:
     """Changes that turn one snapshot into the next: insert, update and delete rows by key.
 
-    Only keys and content digests are shuffled. Keys are unique in each snapshot.
+    Only keys and content digests are shuffled. Keys are unique in each snapshot. A null content
+    is a content like any other; its digest is null.
     """
-    before = old.select(key, F.md5(content).alias("old_digest"))
-    after = new.select(key, F.md5(content).alias("new_digest"))
+    before = old.select(key, F.md5(content).alias("old_digest"), F.lit(True).alias("_old"))
+    after = new.select(key, F.md5(content).alias("new_digest"), F.lit(True).alias("_new"))
     change = (
-        F.when(F.col("old_digest").isNull(), "insert")
-        .when(F.col("new_digest").isNull(), "delete")
-        .when(F.col("old_digest") != F.col("new_digest"), "update")
+        F.when(F.col("_old").isNull(), "insert")
+        .when(F.col("_new").isNull(), "delete")
+        .when(~F.col("old_digest").eqNullSafe(F.col("new_digest")), "update")
     )
     return (
         before.join(after, key, "full_outer")
         .withColumn("change", change)
         .where(F.col("change").isNotNull())
+        .drop("_old", "_new")
     )

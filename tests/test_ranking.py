@@ -12,6 +12,8 @@ from tarnwatch.operators import bounded, ranking
     [1.0] * 500 + [2.0] * 500 + [1e9],
     [0.0, 1e-12, 1.0] * 300,
     [5.0],
+    [1.0, 2.0, 1e300, -1e308, 1e308, 0.0] * 40 + [float("inf")] * 30 + [float("-inf")] * 10,
+    [float("inf")] * 4,
 ])
 @pytest.mark.parametrize("finish", [0, 10_000])
 def test_order_statistics(spark, monkeypatch, values, finish):

@@ -113,6 +113,28 @@ def test_label_profiles_are_means(vectors):
         assert np.allclose(got[label], want)
 
 
-def test_retrieval_finds_few_texts_by_broadcast(chunks, questions):
-    plan = retrieval.retrieve_by_keywords(chunks, questions, 2)
-    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
+def test_odd_keywords_score_alike_on_both_paths(spark, chunks, monkeypatch):
+    asked = spark.createDataFrame([("q1", ["", "SLA", None, "sla"]), ("q2", [None, ""]), ("q3", ["Ü", "a"])],
+                                  "question_id string, keywords array<string>")
+    both = []
+    for inline in (64, 0):
+        monkeypatch.setattr(retrieval, "INLINE_QUESTIONS", inline)
+        both.append(sorted(map(tuple, retrieval.score_questions(chunks, asked).select("question_id", "id", "score").collect())))
+    assert both[0] == both[1] and {q for q, _, _ in both[0]} == {"q1", "q3"}
+
+
+@pytest.mark.parametrize("keywords,rows", [(1, 3), (100_000, 2048)])
+def test_best_chunks_in_blocks(chunks, questions, monkeypatch, keywords, rows):
+    monkeypatch.setattr(retrieval, "BLOCK_KEYWORDS", keywords)
+    monkeypatch.setattr(retrieval, "SCORED_ROWS", rows)
+    got = {(r.question_id, r.id): r.score for r in retrieval.retrieve_by_keywords(chunks, questions, 400).collect()}
+    assert got == brute(chunks, questions)
+
+
+def test_null_and_ragged_vectors_have_no_neighbours(spark):
+    corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [0.0, 1.0]), (5, [None, 1.0])],
+                                   "vec_id bigint, embedding array<float>")
+    asked = corpus.withColumnRenamed("vec_id", "query_id")
+    for inline in (100, 1):
+        got = retrieval.vector_top_k(corpus, asked, 2, inline=inline, cell_rows=1).collect()
+        assert sorted((r.query_id, r.vec_id) for r in got) == [(1, 1), (1, 4), (4, 1), (4, 4)]

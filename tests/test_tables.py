@@ -141,3 +141,11 @@ def test_top_incidents_parity_order(spark):
     by_risk = [r.incident_id for r in reports.top_incidents(df).collect()]
     assert len(by_risk) == 20 and by_risk[0] == "i29"
     assert reports.top_incidents(df, "anomaly_score").first().incident_id == "i3"
+
+
+def test_snapshot_diff_of_null_texts(spark):
+    schema = "id int, t string"
+    old = spark.createDataFrame([(1, None), (2, "a"), (3, None), (4, "x")], schema)
+    new = spark.createDataFrame([(1, None), (2, None), (3, "b"), (5, None)], schema)
+    got = {r.id: r.change for r in tables.snapshot_diff(old, new, "id", F.col("t")).collect()}
+    assert got == {2: "update", 3: "update", 4: "delete", 5: "insert"}
