@@ -98,7 +98,8 @@ def test_assistant_sections_and_trace(spark, chunks, mode):
                       "escalation": C.ESCALATE_TEXT,
                       "top_anomaly_services": [{"service": "a", "rate": 0.5},
                                                {"service": "b", "rate": 0.0}]}
-    assert got["q1"].tool_trace[2].docs_returned == (1 if mode == "keywords" else 3)
+    # Short words of the question count too, so three chunks are found either way.
+    assert got["q1"].tool_trace[2].docs_returned == 3
     assert got["q1"].context.startswith(
         "\nSLA CONTEXT:\nTotal incidents: 4\nBreached: 1\nSLA breach rate: 25.00%\nEscalation: "
         + C.ESCALATE_TEXT + "\n\nTOP ANOMALY SERVICES:\n[('a', 0.5), ('b', 0.0)]\n"
