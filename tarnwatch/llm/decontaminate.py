@@ -6,7 +6,8 @@ shingles, so its prefix is one shingle: the rarest in the documents. One scan re
 to the shingles that any item has, each with the few words around it that a window through it
 can cover. They are counted; windows with a shingle that occurs nowhere are out, the others are
 joined by their rarest shingle alone. Its position fixes where the window would begin, the lengths
-of text and item bound it, and what is left is compared word by word.
+of text and item bound it, and what is left is compared word by word. The same scan gives every
+document's number of words.
 
 The scan first asks for a shingle's bucket of BUCKETS (a list of at most so many numbers, whatever
 the benchmark's size) and then joins what passes. Tables made from the benchmark are written before
@@ -32,7 +33,6 @@ WINDOW, SHINGLE = 13, 5
 BUCKETS = 1 << 16
 #: All that is no word: a word has digits, letters and characters beyond ASCII.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def ascii_lower(text: Column) -> Column:
@@ -72,10 +72,12 @@ def bucket(*words: Column) -> Column:
     return F.pmod(F.xxhash64(*words), F.lit(BUCKETS))
 
 
-def known_shingles(docs: DataFrame, shingles: DataFrame) -> DataFrame:
-    """(row_key, place, n_words, shingle, left, context): document shingles that some item has.
+def scanned(docs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """(doc_id, row_key, head, known, place, n_words, shingle, left, context) from one scan of the texts.
 
-    `context` holds the words that windows through the shingle may cover, `left` of them before it.
+    `known` rows are document shingles that some item has: `context` holds the words that windows
+    through the shingle may cover, `left` of them before it. Each document has one `head` row, with
+    its number of words; it may be a known one, else its key in `shingle` is its own.
     """
     vocabulary = stored(shingles.select("step", "shingle").distinct(), "vocabulary")
     parts = F.split("shingle", " ")
@@ -85,19 +87,27 @@ def known_shingles(docs: DataFrame, shingles: DataFrame) -> DataFrame:
         rows = own.select(bucket(*[F.get(parts, F.lit(i)) for i in range(step)])).distinct().collect()
         if rows:
             asked[step] = sorted(r[0] for r in rows)
-    words = docs.select(row_key().alias("row_key"), words_of(F.col("text")).alias("words"))
-    placed = words.select("*", F.posexplode("words").alias("place", "word"))
-    place, size = F.col("place"), F.size("words")
+    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"),
+                        words_of(F.col("text")).alias("words"))
+    placed = words.select("*", F.posexplode_outer("words").alias("place", "word"))
+    place, size = F.coalesce("place", F.lit(0)), F.size("words")
     found = None
-    for step, buckets in asked.items():
+    for step, buckets in (asked or {SHINGLE: []}).items():
         own = [F.col("word"), *[F.get("words", place + i) for i in range(1, step)]]
         reach = WINDOW - step
         left = F.least(place, F.lit(reach))
-        part = placed.where((place + step <= size) & bucket(*own).isin(buckets)).select(
-            "row_key", "place", size.alias("n_words"), F.concat_ws(" ", *own).alias("shingle"),
-            left.alias("left"), F.slice("words", place - left + 1, left + step + reach).alias("context"))
+        hit = (place + step <= size) & bucket(*own).isin(buckets)
+        head = (place == 0) if found is None else F.lit(False)
+        # Heads have keys of their own, so that no key of the join below is shared by all of them.
+        part = placed.where(hit | head).select(
+            "doc_id", "row_key", head.alias("head"), place.alias("place"), size.alias("n_words"),
+            F.when(hit, F.concat_ws(" ", *own)).otherwise(F.concat(F.lit("|"), "row_key")).alias("shingle"),
+            left.alias("left"),
+            F.when(hit, F.slice("words", place - left + 1, left + step + reach)).alias("context"))
         found = part if found is None else found.unionAll(part)
-    return found.join(vocabulary.select("shingle"), "shingle")
+    marked = vocabulary.select("shingle", F.lit(True).alias("listed"))
+    return (found.join(marked, "shingle", "left").withColumn("known", F.coalesce("listed", F.lit(False)))
+            .where("head OR known").drop("listed"))
 
 
 def rarest_shingles(shingles: DataFrame, items: DataFrame, known: DataFrame) -> DataFrame:
@@ -121,17 +131,11 @@ def rarest_shingles(shingles: DataFrame, items: DataFrame, known: DataFrame) ->
             .agg(F.min("start").alias("first"), F.max("start").alias("last")))
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def occurrences(items: DataFrame, shingles: DataFrame, known: DataFrame) -> DataFrame:
     """(row_key, item_id, from, length, starts): document places where windows of an item occur.
 
     `from` is the document place of the item's first word, `starts` the item places of the windows.
     """
-    items = stored(item_words(benchmark), "items")
-    if items.isEmpty():
-        return docs.select(row_key().alias("row_key"), F.lit("").alias("item_id"), F.lit(0).alias("from"),
-                           F.lit(0).alias("length"), F.array(F.lit(0)).alias("starts")).where("false")
-    shingles = stored(item_shingles(items), "item-shingles")
-    known = stored(known_shingles(docs, shingles), "known")
     prefix = stored(rarest_shingles(shingles, items, known), "prefix")
     origin = F.col("place") - F.col("at")
     bounded = (
@@ -148,16 +152,18 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = stored(occurrences(docs, benchmark), "occurrences")
+    items = stored(item_words(benchmark), "items")
+    shingles = stored(item_shingles(items), "item-shingles")
+    scan = stored(scanned(docs, shingles), "scanned")
+    known = scan.where("known").select("row_key", "place", "n_words", "shingle", "left", "context")
+    found = stored(occurrences(items, shingles, known), "occurrences")
     places = F.flatten(F.transform("starts", lambda s: F.sequence(
         F.col("from") + s, F.col("from") + s + F.col("length") - 1)))
     hit = (found.select("row_key", F.explode(F.array_distinct(places)).alias("place")).distinct()
            .groupBy("row_key").agg(F.count("*").alias("n_hit")))
     items = found.select("row_key", "item_id").distinct().groupBy("row_key").agg(
         F.count("*").alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("items"))
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"),
-                       words.alias("n_words"))
+    base = scan.where("head").select("doc_id", "row_key", F.col("n_words").cast("long").alias("n_words"))
     joined = base.join(hit.join(items, "row_key"), "row_key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
     return joined.select(
