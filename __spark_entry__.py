@@ -22,7 +22,7 @@ from tarnwatch.functions.text import question_words
 from tarnwatch.operators.bounded import scratch_dir, stored
 from tarnwatch.operators import detectors, forest, monitoring, ranking, retrieval, windows
 from tarnwatch.oracle import ORACLE_SQL
-from tarnwatch.plans import answers, assistant, feature_job, reports, scoring_job, tracking
+from tarnwatch.plans import answers, assistant, feature_job, index_job as indexing, reports, scoring_job, tracking
 from tarnwatch.sources import corpus, tables
 from tarnwatch.sources.incidents import incidents_from_events
 
@@ -455,6 +455,13 @@ def chunks_indexed(spark, d):
     return df.select("id", "doc_id", "chunk_id", "doc_type", "text", "text_clean")
 
 
+def index_job(spark, d):
+    """The chunk table as a job saves it: keys audited before and after."""
+    run = os.urandom(6).hex()
+    return indexing.build_index(_delivered_twice(spark, d), f"rag_chunks_fixed_{run}",
+                                f"{scratch_dir(spark)}/rag-chunks-{run}")
+
+
 def chunk_snapshot_diff(spark, d):
     """Last delivery against a new one: one source rewritten, toxic ones gone, pages added."""
     docs = _table(spark, d, "documents")
@@ -587,7 +594,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     breach_rate_by_service, severity_breakdown, score_histogram, dashboard_filters,
     anomaly_rate_by_service, table_predicate, preview_ordered,
     corpus_union, documents_by_type, chunks, chunk_duplicates, chunks_indexed,
-    chunk_snapshot_diff, keyword_hits, keyword_hits_sets, keyword_hits_batch, knn_topk,
+    index_job, chunk_snapshot_diff, keyword_hits, keyword_hits_sets, keyword_hits_batch, knn_topk,
     knn_topk_by_cell, rerank_length, prompts, cited_answers, cited_answers_batch,
     question_routes, knowledge_lookup, sla_status, prediction_lookup, assistant_context,
     assistant_context_first_k, assistant_trace,

@@ -1,4 +1,4 @@
-"""Size-checked small sides and intermediate tables that outlive executors."""
+"""Size-checked reads and intermediate tables that outlive executors."""
 
 from __future__ import annotations
 
@@ -17,20 +17,6 @@ def bounded_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list[Row] | None:
     return rows if len(rows) <= limit else None
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               limit: int = SMALL_ROWS) -> DataFrame:
-    """Join a usually small side: broadcast when the row count proves it small.
-
-    Beyond the limit this is an ordinary shuffle join, where adaptive execution
-    splits hot keys of the big side.
-    """
-    rows = bounded_rows(small, limit)
-    if rows is None:
-        return big.join(small, on, how)
-    local = big.sparkSession.createDataFrame(rows, small.schema)
-    return big.join(F.broadcast(local), on, how)
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's `spark.checkpoint.dir`.
 

@@ -507,6 +507,10 @@ SELECT id, count(*) AS count FROM chunks GROUP BY id HAVING count(*) > 1"""),
     "chunks_indexed": _with(TWICE, """
 SELECT id, doc_id, chunk_id, doc_type, text, text_clean FROM chunks
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY text) = 1"""),
+    "index_job": _with(TWICE + """,
+keys AS (SELECT id, count(*) AS n FROM chunks GROUP BY id)""", """
+SELECT 'delivered' AS stage, sum(n)::BIGINT AS "rows", (count(*) FILTER (n > 1))::BIGINT AS duplicate_keys FROM keys
+UNION ALL SELECT 'indexed', count(*), 0::BIGINT FROM keys"""),
     "chunk_snapshot_diff": _with(DOCUMENT_CHUNKS + """,
 edited AS (
   SELECT 'doc_' || doc_id AS doc_id, 'document' AS doc_type,
