@@ -342,7 +342,7 @@ def drift_significance(spark, d):
         monitoring.chi2_tail("chi2", "dof").alias("p_value"))
     z = monitoring.numeric_drift(df, DRIFT_NUMERIC).select(
         "feature", F.lit("z").alias("test"), monitoring.normal_tail("z").alias("p_value"))
-    return chi.unionByName(z)
+    return _rounded(chi.unionByName(z), 6, "p_value")
 
 
 def quality_profile(spark, d):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import constants as C
+from . import schemas
 
 INCIDENTS = """
 base AS (
@@ -311,6 +312,44 @@ GROUP BY 1 ORDER BY 1"""
 
 _LAG_ROUND = _round(list(C.LAG_ROWS), 4)
 
+_CELLS = INCIDENTS + f""",
+counts AS (
+  SELECT feature, category, count(*) FILTER (old) AS b, count(*) FILTER (NOT old) AS c
+  FROM (SELECT "timestamp" < {_AS_OF} AS old, unnest([{", ".join(_quoted(c) for c in _DRIFT_CATEGORIES)}])
+          AS feature, unnest([{", ".join(_DRIFT_CATEGORIES)}]) AS category FROM incidents)
+  GROUP BY feature, category),
+totals AS (
+  SELECT feature, sum(b) AS tb, sum(c) AS tc, count(*) AS k FROM counts GROUP BY feature),
+cells AS (
+  SELECT feature, k, b, c, (b + c) * tb / (tb + tc) AS eb, (b + c) * tc / (tb + tc) AS ec
+  FROM counts JOIN totals USING (feature))"""
+
+_NUMERIC_DRIFT = f"""FROM (
+  SELECT feature, count(v) FILTER (old) AS bn, count(v) FILTER (NOT old) AS cn,
+    avg(v) FILTER (old) AS bm, avg(v) FILTER (NOT old) AS cm,
+    var_samp(v) FILTER (old) AS bv, var_samp(v) FILTER (NOT old) AS cv
+  FROM (SELECT "timestamp" < {_AS_OF} AS old, unnest([{", ".join(_quoted(c) for c in _DRIFT_NUMERIC)}])
+          AS feature, unnest([{", ".join(c + "::DOUBLE" for c in _DRIFT_NUMERIC)}]) AS v
+        FROM incidents)
+  GROUP BY feature)"""
+
+
+
+def _schema_rows() -> str:
+    """The columns of the feature table against those declared for scores, as SQL rows."""
+    wanted, actual = ({f.name: f.dataType.simpleString() for f in s.fields}
+                      for s in (schemas.ANOMALY_SCORES, schemas.FEATURES_OPERATIONS))
+
+    def row(name: str) -> str:
+        want, have = wanted.get(name), actual.get(name)
+        status = ("missing" if have is None else "extra" if want is None
+                  else "ok" if want == have else "changed")
+        cells = ("NULL" if v is None else f"'{v}'" for v in (name, want, have, status))
+        return f"({', '.join(cells)})"
+
+    return ", ".join(map(row, sorted(wanted | actual)))
+
+
 ORACLE_SQL: dict[str, str] = {
     "incidents": _with(INCIDENTS, """
 SELECT * REPLACE (round(resolution_time_mins, 4) AS resolution_time_mins) FROM incidents"""),
@@ -398,6 +437,9 @@ FROM (SELECT unnest(['param', 'metric', 'metric', 'metric']) AS kind,
         unnest(['method', 'precision', 'recall', 'f1']) AS key,
         unnest(['z_score', "precision"::VARCHAR, recall::VARCHAR, f1::VARCHAR]) AS value
       FROM ({_metrics("flagged", "z_anomaly", "sla_breached")}))"""),
+    "schema_report": f"""
+SELECT t.*, n AS "rows" FROM (VALUES {_schema_rows()}) t("column", declared, actual, status),
+  (SELECT count(*) AS n FROM events)""",
     "null_report": _with(FEATURES, """
 SELECT "column", nulls, "rows" FROM (
   SELECT unnest(['resolution_time_mins', 'lag_30d', 'rolling_std_14d', 'rolling_std_30d'])
@@ -421,27 +463,21 @@ SELECT feature, bn AS baseline_n, cn AS current_n, round(bm + 1e-8, 6) AS baseli
   round(cm + 1e-8, 6) AS current_mean, round(bv, 4) AS baseline_var, round(cv, 4) AS current_var,
   round((cm - bm) / sqrt(bv / bn + cv / cn), 4) AS z, round(cv / bv, 4) AS variance_ratio,
   abs((cm - bm) / sqrt(bv / bn + cv / cn)) > 3 AS drifted
-FROM (
-  SELECT feature, count(v) FILTER (old) AS bn, count(v) FILTER (NOT old) AS cn,
-    avg(v) FILTER (old) AS bm, avg(v) FILTER (NOT old) AS cm,
-    var_samp(v) FILTER (old) AS bv, var_samp(v) FILTER (NOT old) AS cv
-  FROM (SELECT "timestamp" < {_AS_OF} AS old, unnest([{", ".join(_quoted(c) for c in _DRIFT_NUMERIC)}])
-          AS feature, unnest([{", ".join(c + "::DOUBLE" for c in _DRIFT_NUMERIC)}]) AS v
-        FROM incidents)
-  GROUP BY feature)"""),
-    "categorical_drift": _with(INCIDENTS + f""",
-counts AS (
-  SELECT feature, category, count(*) FILTER (old) AS b, count(*) FILTER (NOT old) AS c
-  FROM (SELECT "timestamp" < {_AS_OF} AS old, unnest([{", ".join(_quoted(c) for c in _DRIFT_CATEGORIES)}])
-          AS feature, unnest([{", ".join(_DRIFT_CATEGORIES)}]) AS category FROM incidents)
-  GROUP BY feature, category),
-totals AS (
-  SELECT feature, sum(b) AS tb, sum(c) AS tc, count(*) AS k FROM counts GROUP BY feature),
-cells AS (
-  SELECT feature, k, b, c, (b + c) * tb / (tb + tc) AS eb, (b + c) * tc / (tb + tc) AS ec
-  FROM counts JOIN totals USING (feature))""", """
+{_NUMERIC_DRIFT}"""),
+    "categorical_drift": _with(_CELLS, """
 SELECT feature, round(sum((b - eb) ** 2 / eb + (c - ec) ** 2 / ec), 4) AS chi2,
   (max(k) - 1)::BIGINT AS dof FROM cells GROUP BY feature"""),
+    "drift_significance": _with(_CELLS + f""",
+statistics AS (
+  SELECT feature, 'chi-square' AS test, sum((b - eb) ** 2 / eb + (c - ec) ** 2 / ec) AS x,
+    (max(k) - 1)::DOUBLE AS dof FROM cells GROUP BY feature
+  UNION ALL
+  SELECT feature, 'z', (cm - bm) ** 2 / (bv / bn + cv / cn), 1
+  {_NUMERIC_DRIFT}),
+series AS (
+  SELECT feature, test, x, CASE WHEN x > 0 AND dof > 0 THEN list_sum(list_transform(range(0, 400 + x::BIGINT),
+    lambda j: exp((dof / 2 + j) * ln(x / 2) - x / 2 - lgamma(dof / 2 + j + 1)))) ELSE 0 END AS lower FROM statistics)""",
+        "SELECT feature, test, round(1 - lower, 6) + 0 AS p_value FROM series"),
     "quality_profile": _with(INCIDENTS, f"""
 SELECT dimension, value, count(*) AS "rows" FROM (
   SELECT unnest([{", ".join(_quoted(c) for c in _PROFILE)}]) AS dimension,
