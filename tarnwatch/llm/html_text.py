@@ -7,6 +7,11 @@ text not counted, are summed over a sliding window. A surge is where such a sum
 threshold, a part of the page's largest sum; a dive is where it falls to nothing. The lines
 between the dives around a surge are kept whole.
 
+Elements are named by class, id and role. A name counts as a whole: `sidebar` and `site-header` hide,
+`has-sidebar` and `comments-open` do not. Nothing hides html, body or main, nor what holds a main, the
+longest article or most of the page's text; but comments, notices, footers and the like may be the
+longest part of a page and are hidden while it has other text.
+
 Defined cases: a null or empty page, and one without any text line, gives an empty text; an element
 that is never closed does not hide what follows it; comments and raw text elements without an end
 reach to the end of the page; `br` is white space.
@@ -40,6 +45,22 @@ HIDDEN_NAMES = {
     "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notification", "overlay", "pagination",
     "popup", "promo", "promotion", "related", "replies", "respond", "share", "sharing", "sidebar", "social",
     "sponsor", "sponsored", "subscribe", "toolbar", "widget", "complementary", "contentinfo", "search"}
+#: Words that leave a compound name what its other words say: `site-header`, `ad-slot`, but not `has-sidebar`.
+NEUTRAL = {
+    "alert", "area", "article", "aside", "author", "bar", "block", "blog", "body", "bottom", "box", "btn",
+    "button", "buttons", "card", "container", "copyright", "div", "entry", "fixed", "floating", "form", "global",
+    "google", "group", "holder", "icon", "icons", "inner", "item", "items", "left", "link", "links", "list", "main",
+    "media", "message", "middle", "mobile", "mw", "outer", "page", "panel", "post", "posts", "primary", "reply", "right",
+    "secondary", "section", "sections", "signup", "site", "slot", "sticky", "sub", "tags", "text", "thread", "title",
+    "toggle", "top", "unit", "widgets", "wp", "wrap", "wrapper"}
+COMMENTS = {"comment", "comments"}
+#: Parts that may hold articles of their own.
+OTHERS = COMMENTS | {"disqus", "replies", "respond", "related"}
+#: Parts whose length says nothing against hiding them, as long as the page has other text.
+APART = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "complementary", "consent", "contentinfo",
+    "cookie", "cookies", "footer", "gdpr", "nav", "navigation", "newsletter", "sidebar"}
+APART_TAGS = {"nav", "footer", "aside", "button", "menu", "dialog"}
 
 TAG = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>")
 NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -48,51 +69,34 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SPACE = re.compile(r"\s+")
 
 
-def is_hidden(tag: str, attributes: str) -> bool:
-    if tag in HIDDEN:
-        return True
-    if tag in CONTENT | {"body", "html"} and "comment" not in attributes.lower():
-        return False
+def hidden_kind(tag: str, attributes: str) -> int:
+    """0: an element to keep, 1: to hide, 2: whatever its length, 3: even with the longest article in it."""
+    if tag in ("html", "body", "main"):
+        return 0
+    kind = 2 if tag in APART_TAGS else int(tag in HIDDEN)
     if not attributes:
-        return False
-    if CONCEALED.search(attributes):
-        return True
+        return kind
+    if tag != "article" and CONCEALED.search(attributes):
+        kind = max(kind, 1)
     for found in NAMES.finditer(attributes):
-        value = found[1] or found[2] or found[3] or ""
-        if any(w.lower() in HIDDEN_NAMES for w in WORD.findall(value)):
-            return True
-    return False
+        for name in (found[1] or found[2] or found[3] or "").split():
+            words = {w.lower() for w in WORD.findall(name)}
+            if words & HIDDEN_NAMES and words <= HIDDEN_NAMES | NEUTRAL and (tag != "article" or words & COMMENTS):
+                kind = max(kind, 3 if words & OTHERS else 2 if words & APART else 1)
+    return kind
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters outside links, inside article or main) per line; blank where things are hidden."""
-    lines, parts = [], []
+def events_of(page: str) -> list[tuple]:
+    """The page in order: (text,), or (tag, opening, attributes); a raw element is its opening tag alone."""
+    events, at = [], 0
     low = page.lower()
-    at, free, in_link, inside = 0, 0, 0, 0
-    hidden, depth = "", 0
-    closed: dict[str, int] = {}
-
-    def close_line():
-        nonlocal free
-        text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
-        if text:
-            lines.append((text, free, inside > 0))
-        parts.clear()
-        free = 0
-
-    def add(text):
-        nonlocal free
-        if text and not hidden:
-            parts.append(text)
-            if not in_link:
-                free += len(text.strip())
-
     while at < len(page):
         start = page.find("<", at)
         if start < 0:
-            add(page[at:])
+            events.append((page[at:],))
             break
-        add(page[at:start])
+        if start > at:
+            events.append((page[at:start],))
         if page.startswith("<!--", start):
             end = page.find("-->", start + 4)
             at = len(page) if end < 0 else end + 3
@@ -103,40 +107,123 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             continue
         found = TAG.match(page, start)
         if not found:
-            add("<")
+            events.append(("<",))
             at = start + 1
             continue
         at = found.end()
-        tag, attributes = found[1].lower(), found[2]
-        opening = page[start + 1] != "/"
-        if tag in BLOCKS and not hidden:
-            close_line()
-        elif tag in ("br", "td", "th") and not hidden:
-            parts.append(" ")
+        tag, opening = found[1].lower(), page[start + 1] != "/"
+        events.append((tag, opening, found[2]))
         if opening and tag in RAW:
             end = low.find(f"</{tag}", at)
             at = len(page) if end < 0 else end
-            if not hidden:
-                lines.extend([("", 0, inside > 0)] * (0 if inside else WINDOW))
+    return events
+
+
+def hidden_elements(events: list[tuple]) -> dict[int, int]:
+    """First event of each element to hide, and the event that ends it.
+
+    Hidden by tag or name, but not if it holds a `main`, the longest article, or most of the text.
+    Lengths are differences of prefix sums, text of links not counted.
+    """
+    last = {e[0]: i for i, e in enumerate(events) if len(e) > 1 and not e[1]}
+    before, everything = [0], [0]
+    open_tags: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    kinds: dict[int, int] = {}
+    contents = []
+    in_link = False
+    for i, event in enumerate(events):
+        size = 0
+        if len(event) == 1:
+            size = len(event[0].strip())
+        else:
+            tag, opening, attributes = event
+            if tag == "a":
+                in_link = opening
+            if opening and tag not in VOID and tag not in RAW and not attributes.endswith("/"):
+                open_tags.setdefault(tag, []).append(i)
+                kind = hidden_kind(tag, attributes)
+                if kind and last.get(tag, -1) > i:
+                    kinds[i] = kind
+                elif tag in CONTENT:
+                    contents.append(i)
+            elif not opening and open_tags.get(tag):
+                ends[open_tags[tag].pop()] = i
+        everything.append(everything[-1] + size)
+        before.append(before[-1] + (0 if in_link else size))
+    if not before[-1]:
+        before = everything
+
+    def size_of(i):
+        return before[ends.get(i, len(events))] - before[i]
+
+    total = before[-1]
+    main = next((i for i in contents if events[i][0] == "main" and size_of(i)), None)
+    longest = max(contents, key=size_of, default=None)
+    if longest is not None and not size_of(longest):
+        longest = None
+    outside, covered = total, 0
+    for i in kinds:
+        if i >= covered:
+            covered = ends.get(i, len(events))
+            outside -= size_of(i)
+    hidden = {}
+    for i, kind in kinds.items():
+        end = ends.get(i, len(events))
+        if main is not None and i < main < end:
             continue
-        if hidden:
-            if tag == hidden and not attributes.endswith("/"):
-                depth += 1 if opening else -1
-                if not depth:
-                    hidden = ""
+        if longest is not None and i < longest < end:
+            spared = (kind < 3 or not outside) and size_of(longest) >= outside
+        else:
+            # Within the longest article its length counts, beside it none does.
+            within = longest is None or longest < i < ends.get(longest, len(events))
+            spared = (kind < 2 or not outside) and within and 2 * size_of(i) > (
+                total if longest is None else size_of(longest))
+        if not spared:
+            hidden[i] = end
+    return hidden
+
+
+def lines_of(page: str) -> list[tuple[str, int, bool]]:
+    """(text, characters outside links, inside article or main) per line; blank where things are hidden."""
+    lines, parts = [], []
+    free, in_link, inside = 0, 0, 0
+    events = events_of(page)
+    hidden, resume = hidden_elements(events), 0
+
+    def close_line():
+        nonlocal free
+        text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
+        if text:
+            lines.append((text, free, inside > 0))
+        parts.clear()
+        free = 0
+
+    for i, event in enumerate(events):
+        if i < resume:
+            continue
+        if len(event) == 1:
+            parts.append(event[0])
+            if not in_link:
+                free += len(event[0].strip())
+            continue
+        tag, opening, attributes = event
+        if tag in BLOCKS:
+            close_line()
+        elif tag in ("br", "td", "th"):
+            parts.append(" ")
+        if opening and tag in RAW:
+            lines.extend([("", 0, inside > 0)] * (0 if inside else WINDOW))
+            continue
+        if i in hidden:
+            close_line()
+            resume = hidden[i] + 1
+            lines.extend([("", 0, inside > 0)] * (0 if inside else WINDOW))
             continue
         if tag in CONTENT and not attributes.endswith("/"):
             inside = max(0, inside + (1 if opening else -1))
         if tag == "a":
             in_link = int(opening)
-        if opening and tag not in VOID and not attributes.endswith("/") and is_hidden(tag, attributes):
-            if tag not in closed:
-                closed[tag] = low.rfind(f"</{tag}")
-            if closed[tag] >= at:
-                close_line()
-                inside -= tag in CONTENT
-                hidden, depth = tag, 1
-                lines.extend([("", 0, inside > 0)] * (0 if inside else WINDOW))
     close_line()
     return lines
 

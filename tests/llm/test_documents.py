@@ -165,6 +165,33 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page", [
+    around(f"<div class='content-sidebar-wrap'><main>{ARTICLE}</main></div>"),
+    around(f"<div class='site-content has-sidebar'><article>{ARTICLE}</article></div>"),
+    around(f"<div id='no-sidebar'><div class='with-header'>{ARTICLE}</div></div>"),
+    around(f"<div class='sidebar'><main>{ARTICLE}</main></div>"),
+    around(f"<div class='widget'><article>{ARTICLE}</article></div><p>One line.</p>"),
+    around(f"<div class='social'>{ARTICLE}</div>"),
+    around(f"<article><div class='widget'>{ARTICLE}</div></article>"),
+    around(f"<article class='post comments-open'>{ARTICLE}</article>"),
+    around(f"<article data-comments='3' class='search'>{ARTICLE}</article>"),
+    around(f"<article>{ARTICLE}</article>").replace("<body>", "<body class='single comments-open sidebar'>"),
+    around(ARTICLE).replace("<body>", "<body><form id='aspnetForm'>").replace("</body>", "</form></body>"),
+    # what stays hidden: cards, comments and compounds of nothing but such names
+    around(f"<article>{ARTICLE}</article><div class='related-posts'><article>{'card ' * 90}</article></div>"),
+    around(f"<div class='post'>{ARTICLE}</div><div id='comments'><article class='comment-body'>{'reply ' * 90}</article></div>"),
+    around(f"<main>{ARTICLE}<div class='widget-area'><p>{'other ' * 9}</p></div></main>"),
+    around(f"<article>{ARTICLE}</article><div class='site-header'>{'more ' * 200}</div>"),
+    around(f"<div>{ARTICLE}</div><div class='cookie-banner'>{'accept ' * 90}</div>"),
+])
+def test_containers_are_not_hidden(page):
+    assert html_text.main_text(page) == TEXT
+
+
+def test_nested_names_stay_linear():
+    assert html_text.main_text("<div class='sidebar'>" * 30_000 + "<p>text</p>" + "</div>" * 30_000) == "text"
+
+
 def test_pages_of_the_table(spark):
     import html
     table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
