@@ -226,6 +226,27 @@ def test_license_scan(spark, documents):
     assert license_rows(documents([])) == []
 
 
+def test_several_notices_in_a_line(spark, documents):
+    """Dual licences, notices within long lines and texts without line breaks."""
+    rng = random.Random(7)
+    def prose(n=30):
+        return " ".join(rng.choice("this is the work of under a to and license version public terms".split()) for _ in range(n))
+    notices = [(f, t) for f, texts in licenses.NOTICES.items() for t in texts]
+    first = [(f, texts[0]) for f, texts in licenses.NOTICES.items()]
+    texts = [f"{prose()} {t.upper()} {prose(300)}" for _, t in notices]
+    want = [(1, f) for f, _ in notices]
+    texts.append(f" {prose()} ".join(t for _, t in first))
+    want.append((len(first), ",".join(sorted(f for f, _ in first))))
+    both = "Apache-2.0,MIT"
+    texts += ["Licensed under the MIT License or the Apache License, Version 2.0.",
+              "Licensed under the Apache License, Version 2.0. Licensed under the MIT License.",
+              " ".join(["Licensed under the MIT License."] * 300)]
+    want += [(2, both), (2, both), (300, "MIT")]
+    got = {r.doc_id: (r.n_notices, r.families) for r in license_rows(documents(texts))}
+    wrong = [(texts[i][:200], got[i], w) for i, w in enumerate(want) if got[i] != w]
+    assert not wrong
+
+
 def license_rows(docs):
     return licenses.license_scan(docs).collect()
 
