@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 from hypothesis import given, settings
@@ -226,6 +227,27 @@ def test_license_scan(spark, documents):
     assert license_rows(documents([])) == []
 
 
+def wrapped(text, width, lead=""):
+    return "\n".join(lead + line for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_notices(spark, documents):
+    """Notices in lines of 40 to 75 columns, plain and in comments; an empty line parts them."""
+    long = [(f, t) for f, texts in licenses.NOTICES.items() for t in texts if len(t) > 100]
+    assert {"MIT", "BSD", "GPL-3.0"} <= {f for f, _ in long}
+    texts, want = [], []
+    for f, t in long:
+        for width, lead in ((40, ""), (60, " * "), (75, "# ")):
+            texts.append("Some words first\n\n" + wrapped(t, width, lead) + "\n\nand some more")
+            want.append((1, f, f"2:{f}"))
+    mit = next(t for f, t in long if f == "MIT").split()
+    half = len(mit) // 2
+    texts.append(" ".join(mit[:half]) + "\n \n" + " ".join(mit[half:]))
+    want.append((0, "", ""))
+    got = {r.doc_id: (r.n_notices, r.families, r.places) for r in license_rows(documents(texts))}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_several_notices_in_a_line(spark, documents):
     """Dual licences, notices within long lines and texts without line breaks."""
     rng = random.Random(7)
