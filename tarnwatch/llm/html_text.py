@@ -63,6 +63,8 @@ APART = {
 APART_TAGS = {"nav", "footer", "aside", "button", "menu", "dialog"}
 
 TAG = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>")
+#: Searched in the page itself: `lower` moves places, as it makes two characters of some.
+RAW_ENDS = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 CONCEALED = re.compile(r"(?:^|\s)(?:hidden(?=\s|=|/|$)|aria-hidden\s*=\s*[\"']?true)", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -89,7 +91,6 @@ def hidden_kind(tag: str, attributes: str) -> int:
 def events_of(page: str) -> list[tuple]:
     """The page in order: (text,), or (tag, opening, attributes); a raw element is its opening tag alone."""
     events, at = [], 0
-    low = page.lower()
     while at < len(page):
         start = page.find("<", at)
         if start < 0:
@@ -114,8 +115,8 @@ def events_of(page: str) -> list[tuple]:
         tag, opening = found[1].lower(), page[start + 1] != "/"
         events.append((tag, opening, found[2]))
         if opening and tag in RAW:
-            end = low.find(f"</{tag}", at)
-            at = len(page) if end < 0 else end
+            end = RAW_ENDS[tag].search(page, at)
+            at = end.start() if end else len(page)
     return events
 
 

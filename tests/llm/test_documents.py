@@ -189,6 +189,12 @@ def test_containers_are_not_hidden(page):
     assert html_text.main_text(page) == TEXT
 
 
+@pytest.mark.parametrize("n", [1, 3, 200])
+def test_letters_that_grow_in_lower_case(n):
+    page = f"<article><p>{'İ' * n}</p><SCRIPT>x = '<p>';</Script><p>{'after it ' * 30}</p><style>p</STYLE><p>End.</p></article>"
+    assert html_text.main_text(page) == f"{'İ' * n}\n\n{('after it ' * 30).strip()}\n\nEnd."
+
+
 def test_nested_names_stay_linear():
     assert html_text.main_text("<div class='sidebar'>" * 30_000 + "<p>text</p>" + "</div>" * 30_000) == "text"
 
