@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.bounded import stored
+from .shared import keyed, row_key
 
 SHINGLE = 3
 REGISTERS, ROWS = 384, 8
@@ -118,7 +119,7 @@ def similarity_estimates(a: np.ndarray, others: np.ndarray, size: int, sizes: np
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_id, sketch) per row; `set_id` names the set, null if empty."""
+    """(row_key, doc_id, n_shingles, set_id, sketch) per row; `set_id` names the set, null if empty."""
     def run(batches):
         hashes, probe = WordHashes(), probes()
         for batch in batches:
@@ -129,12 +130,14 @@ def profiles(docs: DataFrame) -> DataFrame:
                 names.append(hashlib.md5(codes.tobytes()).digest() if len(codes) else None)
                 sketches.append(sketch_of(codes, probe).tobytes() if len(codes) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
-                 pa.array(sketches, pa.binary())], names=["doc_id", "n_shingles", "set_id", "sketch"])
+                [batch.column("row_key"), batch.column("doc_id"), pa.array(sizes, pa.int64()),
+                 pa.array(names, pa.binary()), pa.array(sketches, pa.binary())],
+                names=["row_key", "doc_id", "n_shingles", "set_id", "sketch"])
 
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
-    ).mapInArrow(run, "doc_id long, n_shingles long, set_id binary, sketch binary")
+        row_key().alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("binary").alias("text"),
+    ).mapInArrow(run, "row_key string, doc_id long, n_shingles long, set_id binary, sketch binary")
 
 
 # --- Candidates and links -----------------------------------------------------------
@@ -313,8 +316,8 @@ def cell_links(cells: DataFrame) -> DataFrame:
 
 # --- The operator ----------------------------------------------------------------
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: n_shingles, component_id (its class's smallest doc_id) and kept."""
+def verdicts(docs: DataFrame) -> DataFrame:
+    """One row per document: row_key, set_id and the columns of `near_duplicates`."""
     rows = stored(profiles(docs), "profiles")
     filled = rows.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
     classes = stored(filled.groupBy("set_id").agg(
@@ -323,15 +326,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = linked_classes(classes.select("node", "n_shingles", "sketch"), docs)
     named = classes.select("set_id", "node").join(labels, "node", "left").select(
         "set_id", F.coalesce("component", "node").alias("component"))
-    whole = rows.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
+    whole = rows.select("row_key", "doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return whole.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
+        "row_key", "set_id", "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document: n_shingles, component_id (its class's smallest doc_id) and kept."""
+    return verdicts(docs).drop("row_key", "set_id")
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each group of near-duplicates; rows without doc_id stay."""
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = docs.join(kept, docs["doc_id"] == kept["doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
+    """One row of each group of near-duplicates; rows without doc_id stay.
+
+    Rows that share a doc_id are judged each by its own text; of those with equal sets one stays.
+    """
+    kept = (verdicts(docs).where("kept AND doc_id IS NOT NULL")
+            .groupBy("doc_id", F.coalesce(F.hex("set_id"), "row_key")).agg(F.min("row_key").alias("row_key")))
+    one = keyed(docs).join(kept, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return one.select("row.*").unionAll(docs.where("doc_id IS NULL"))

@@ -161,6 +161,14 @@ def test_near_duplicates_of_odd_ids(spark, documents):
     assert near_dups.near_duplicates(documents([])).count() == 0
 
 
+def test_stage_with_odd_ids(spark, documents):
+    """Rows of one id with different texts: the copy goes, the others stay."""
+    docs = documents(["a b c d", "a b c d", "a b c d", "q r s", None, "q r s", "A b c d"], doc_id=[None, 4, 9, 9, 9, 9, 4])
+    got = near_dups.drop_near_duplicates(docs.repartition(3)).collect()
+    assert sorted((str(r.doc_id), (r.text or "").lower()) for r in got) == [
+        ("4", "a b c d"), ("9", ""), ("9", "q r s"), ("None", "a b c d")]
+
+
 def test_estimate_is_close():
     hashes, probe = near_dups.WordHashes(), near_dups.probes()
     for n in (30, 300, 3000):
