@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontaminate, html_text, licenses, mixing, near_dups, personal_data, quality, token_counts, token_files,
-    web_archive,
+    token_links, web_archive,
 )
 from .shared import table
 from .sql import ORACLE_SQL
@@ -66,9 +66,14 @@ def op10_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return licenses.license_scan(table(spark, d, "documents"))
 
 
+def op13_token_links(spark: SparkSession, d: str) -> DataFrame:
+    return token_links.token_links(
+        table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_web_archive, op2_token_counts, op3_personal_data, op4_quality_rules, op5_main_text, op6_token_planes,
-        op7_near_duplicates, op8_decontamination, op9_source_mix, op10_license_scan,
+        op7_near_duplicates, op8_decontamination, op9_source_mix, op10_license_scan, op13_token_links,
     )
 }
