@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, html_text, licenses, mixing, near_dups, personal_data, quality, token_counts, token_files,
-    token_links, web_archive,
+    decontaminate, html_text, licenses, mixing, near_dups, personal_data, quality, source_drift, token_counts,
+    token_files, token_links, topk_search, web_archive,
 )
 from .shared import table
 from .sql import ORACLE_SQL
@@ -66,6 +67,14 @@ def op10_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return licenses.license_scan(table(spark, d, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return source_drift.source_divergence(table(spark, d, "documents"))
+
+
+def op12_topk_search(spark: SparkSession, d: str) -> DataFrame:
+    return topk_search.top_k(table(spark, d, "embeddings"), F.col("vec_id") % topk_search.EVERY == 0)
+
+
 def op13_token_links(spark: SparkSession, d: str) -> DataFrame:
     return token_links.token_links(
         table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
@@ -74,6 +83,7 @@ def op13_token_links(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_web_archive, op2_token_counts, op3_personal_data, op4_quality_rules, op5_main_text, op6_token_planes,
-        op7_near_duplicates, op8_decontamination, op9_source_mix, op10_license_scan, op13_token_links,
+        op7_near_duplicates, op8_decontamination, op9_source_mix, op10_license_scan, op11_source_divergence,
+        op12_topk_search, op13_token_links,
     )
 }

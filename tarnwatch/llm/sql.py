@@ -85,9 +85,49 @@ SELECT page_id, octet_length(payload) AS payload_bytes,
 FROM d JOIN f USING (hex)
 """
 
+_SOURCE_DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY 1, 2 HAVING count(DISTINCT row) >= 30),
+c AS (SELECT lang, source, term, count(*) AS count FROM t SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+v AS (SELECT lang, count(*) AS v, sum(total) AS lang_n FROM kept GROUP BY 1),
+n AS (SELECT lang, source, sum(count) AS n FROM c GROUP BY 1, 2),
+g AS (SELECT DISTINCT lang, source FROM d),
+gn AS (SELECT lang, source, coalesce(n, 0)::HUGEINT AS n, coalesce(v, 0)::HUGEINT AS v,
+         coalesce(lang_n, 0)::HUGEINT AS lang_n FROM g LEFT JOIN n USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (SELECT lang, source, term, count, n, 1 + (1000000000::HUGEINT * (coalesce(count, 0) + 5)) // (n + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (total + 5)) // (lang_n + 5 * v) AS q
+  FROM gn JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM p WHERE count > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+_TOPK_SEARCH = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS l,
+    row_number() OVER () AS row FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.row AS query, q.vec_id AS query_id, c.vec_id,
+    CAST(coalesce(list_sum(list_transform(range(1, len(q.l) + 1), lambda i: q.l[i] * c.l[i])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.row <> c.row AND len(q.l) = len(c.l) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_web_archive": _WEB_ARCHIVE,
     "op7_near_duplicates": _NEAR_DUPLICATES,
     "op8_decontamination": _DECONTAMINATION,
     "op9_source_mix": _SOURCE_MIX,
+    "op11_source_divergence": _SOURCE_DIVERGENCE,
+    "op12_topk_search": _TOPK_SEARCH,
 }
