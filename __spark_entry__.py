@@ -213,8 +213,9 @@ def contamination_cutoff(spark, d):
 
 def isolation_forest_scores(spark, d):
     df = scoring_job.anomaly_scores(_saved_features(spark, d), C.BATCH_FEATURES, run_id="bench")
-    return df.select("incident_id", "service_name", "anomaly_score", "risk_score",
-                     "if_anomaly", "is_anomaly", "anomaly_type", "model_name")
+    df = df.select("incident_id", "service_name", "anomaly_score", "risk_score",
+                   "if_anomaly", "is_anomaly", "anomaly_type", "model_name")
+    return _rounded(df, 6, "anomaly_score", "risk_score")
 
 
 def forest_verdict_share(spark, d):
@@ -228,8 +229,9 @@ def forest_verdict_share(spark, d):
 
 def detector_comparison(spark, d):
     df = scoring_job.anomaly_scores(_saved_features(spark, d), run_id="bench")
-    return detectors.compare_detectors(
+    df = detectors.compare_detectors(
         df, {"isolation_forest": "if_anomaly", "z_score_baseline": "z_anomaly"})
+    return _rounded(df, 6, "precision", "recall", "f1")
 
 
 def rule_comparison(spark, d):
@@ -280,8 +282,10 @@ def _score_batch_table(spark, d, **job):
 
 
 def score_batch(spark, d):
-    scored = _score_batch_table(spark, d, scoring_date="2024-01-15")
-    return scored.drop("scored_at")
+    scored = _score_batch_table(spark, d, scoring_date="2024-01-15").drop("scored_at")
+    scored = _rounded(scored, 4, "resolution_time_mins", *C.LAG_ROWS, "severity_x_resolution")
+    scored = _settled(_rounded(scored, 2, "total_resolution_time"), *ROLLING)
+    return _rounded(scored, 6, "z_score", "anomaly_score", "risk_score")
 
 
 def score_batch_days(spark, d):
@@ -298,7 +302,7 @@ def saved_model_scores(spark, d):
     model = scoring_job.train_model(features.where("window = 'baseline'"))
     recent = features.where("window = 'current'").drop("window")
     df = scoring_job.anomaly_scores(recent, model=model, run_id="saved")
-    return df.select("incident_id", "service_name", "anomaly_score", "if_anomaly")
+    return _rounded(df.select("incident_id", "service_name", "anomaly_score", "if_anomaly"), 6, "anomaly_score")
 
 
 def model_performance(spark, d):

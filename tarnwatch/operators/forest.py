@@ -2,17 +2,22 @@
 
 A model is a table of tree nodes with at most `trees * (2 * sample_size - 1)` rows, so it
 is small however large the data.
+
+All random numbers are digits of md5 digests of the seed, the row's key and the tree's and node's numbers,
+inputs are rounded to STEP, and path lengths are whole millionths: any engine that can
+count draws the same samples, grows the same trees and gives the same verdicts (`forest_sql.py`).
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import LongType
 
 from ..constants import SEED
 from ..schemas import FOREST_NODES
@@ -26,11 +31,33 @@ SAMPLE = 256
 MAX_NODES = 1_000_000
 # Rows drawn from the table per row needed; the exact sample is cut from these.
 MARGIN = 2
+# Inputs are whole multiples of 1 / STEP. The offset keeps means of few values off the halves.
+STEP, HALF = 10_000, 0.5001
+PATH_UNIT = 1_000_000
+PRIME = 2 ** 31 - 1
+DIGITS = 7
+
+
+def digest_numbers(text: str) -> list[int]:
+    """Four 28-bit numbers from the md5 digest of a text."""
+    digest = hashlib.md5(text.encode()).hexdigest()
+    return [int(digest[k * DIGITS:(k + 1) * DIGITS], 16) for k in range(4)]
+
+
+def _key_numbers(key: Column, seed: int) -> Column:
+    """Two of these numbers for a row's key, as a struct (h1, h2)."""
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))
+    return F.struct(*[F.conv(F.substring(digest, k * DIGITS + 1, DIGITS), 16, 10).cast("long").alias(f"h{k + 1}")
+                      for k in (0, 1)])
+
 
+def rounded(value: Column) -> Column:
+    return F.floor(value * F.lit(float(STEP)) + F.lit(HALF)).cast("double") / F.lit(float(STEP))
 
-def _unit_hash(*parts: Column) -> Column:
-    """Uniform number in [0, 1) that depends only on the parts."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 40)).cast("double") / float(1 << 40)
+
+def model_inputs(features: list[str]) -> list[Column]:
+    """The features as the forest sees them."""
+    return [rounded(v).alias(name) for v, name in zip(feature_vector(features), features)]
 
 
 def expected_path(n) -> np.ndarray:
@@ -40,84 +67,84 @@ def expected_path(n) -> np.ndarray:
     return np.where(n > 2, grown, np.where(n == 2, 1.0, 0.0))
 
 
-def _grow(tree_id: int, x: np.ndarray, rng: np.random.Generator, sample_size: int) -> list[tuple]:
-    """Nodes of one random tree over the sample `x`."""
-    limit = math.ceil(math.log2(max(sample_size, 2)))
-    nodes: list[list] = []
-    work = [(np.arange(len(x)), 0, None)]
+def path_length(depth: int, rows: int) -> float:
+    """Depth of a leaf plus the mean depth its rows would still have, in whole millionths."""
+    return math.floor((depth + float(expected_path(rows))) * PATH_UNIT + 0.5) / PATH_UNIT
+
+
+def _grow(tree_id: int, x: np.ndarray, seed: int) -> list[tuple]:
+    """Nodes of one random tree over the sample `x`. Node n has the children 2n + 1 and 2n + 2."""
+    limit = math.ceil(math.log2(max(len(x), 2)))
+    nodes, work = [], [(np.arange(len(x)), 0, 0)]
     while work:
-        rows, depth, link = work.pop()
-        here = len(nodes)
-        if link is not None:
-            nodes[link[0]][link[1]] = here
+        rows, depth, here = work.pop()
         part = x[rows]
         low, high = part.min(axis=0), part.max(axis=0)
         splittable = np.flatnonzero(high > low)
         if depth >= limit or len(splittable) == 0:
-            reach = depth + float(expected_path(len(rows)))
-            nodes.append([tree_id, here, -1, 0.0, here, here, reach, sample_size])
+            nodes.append((tree_id, here, -1, 0.0, here, here, path_length(depth, len(rows)), len(x)))
             continue
-        feature = int(rng.choice(splittable))
-        cut = float(rng.uniform(low[feature], high[feature]))
-        if cut >= high[feature]:
-            cut = float(low[feature])
+        pick, spot, *_ = digest_numbers(f"{seed}|grow|{tree_id}|{here}")
+        feature = int(splittable[pick % len(splittable)])
+        cut = float(low[feature] + (high[feature] - low[feature]) * (spot / 2.0 ** 28))
         goes_left = part[:, feature] <= cut
-        nodes.append([tree_id, here, feature, cut, -1, -1, 0.0, sample_size])
-        work.append((rows[~goes_left], depth + 1, (here, 5)))
-        work.append((rows[goes_left], depth + 1, (here, 4)))
-    return [tuple(n) for n in nodes]
+        left, right = 2 * here + 1, 2 * here + 2
+        nodes.append((tree_id, here, feature, cut, left, right, 0.0, len(x)))
+        work.append((rows[~goes_left], depth + 1, right))
+        work.append((rows[goes_left], depth + 1, left))
+    return nodes
 
 
 def fit_forest(df: DataFrame, features: list[str], key: str = "incident_id", trees: int = TREES,
                sample_size: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """Node table of a forest; each tree sees `sample_size` rows drawn without replacement.
 
-    Draws are hashes of seed, tree and row key, so the forest does not depend on how
-    the data is partitioned. Every tree draws from the whole table, at any size: the scan
-    keeps a row for the trees that drew it, about `sample_size` times MARGIN rows a tree.
+    A row's key is digested once; a tree orders the rows by a linear function of that digest modulo a
+    prime, so the forest does not depend on how the data is partitioned. Every tree draws from
+    the whole table, at any size: the scan keeps a row for the trees that drew it, about
+    `sample_size` times MARGIN rows a tree.
     """
     n = df.count()
     if n == 0:
         raise ValueError("no rows to fit on")
-    vectors = df.select(F.col(key).alias("_key"), F.array(*feature_vector(features)).alias("x"))
-    share = min(1.0, sample_size * MARGIN / n)
-    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
-                     lambda t: _unit_hash(F.col("_key"), t, F.lit(seed + 1)) < share)
-    draws = (
-        vectors.select("_key", "x", F.explode(drawn).alias("tree_id"))
-        .withColumn("_draw", _unit_hash(F.col("_key"), F.col("tree_id"), F.lit(seed + 1)))
-    )
-    sample = top_k(draws, ["tree_id"], [F.col("_draw"), F.col("_key")], sample_size, "_place")
+    # The one-row generator keeps the digest from being repeated for every tree.
+    vectors = df.select(F.col(key).alias("_key"), F.array(*model_inputs(features)).alias("x"),
+                        F.inline(F.array(_key_numbers(F.col(key), seed))))
+    limit = int(PRIME * min(1.0, sample_size * MARGIN / n)) + 1
+    lines = F.array(*[F.struct(F.lit(t).alias("tree_id"), *[
+        F.lit(number + 1).cast("long").alias(name) for name, number in zip(
+            ("a1", "b1", "a2", "b2"), digest_numbers(f"{seed}|draw|{t}"))]) for t in range(trees)])
+
+    def place(tree: Column, k: int) -> Column:
+        return (F.col(f"h{k}") * tree[f"a{k}"] + tree[f"b{k}"]) % F.lit(PRIME)
+
+    draws = vectors.select("_key", "x", "h1", "h2", F.explode(F.filter(lines, lambda t: place(t, 1) <= limit)).alias("_t"))
+    order = [place(F.col("_t"), 1), place(F.col("_t"), 2), F.col("_key")]
+    sample = top_k(draws.withColumn("tree_id", F.col("_t.tree_id")), ["tree_id"], order, sample_size, "_place")
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_place")
-        tree_id = int(group["tree_id"].iloc[0])
         x = np.stack(group["x"].to_numpy()).astype(float)
-        rows = _grow(tree_id, x, np.random.default_rng([seed, tree_id]), len(x))
-        return pd.DataFrame(rows, columns=FOREST_NODES.names)
+        return pd.DataFrame(_grow(int(group["tree_id"].iloc[0]), x, seed), columns=FOREST_NODES.names)
 
-    return sample.select("tree_id", "_place", "x").groupBy("tree_id").applyInPandas(
-        build, FOREST_NODES)
+    return sample.select("tree_id", "x").groupBy("tree_id").applyInPandas(build, FOREST_NODES)
 
 
 def _pack(nodes: list) -> dict[str, np.ndarray | float]:
-    """Node rows as flat arrays with one root per tree and absolute links."""
+    """Node rows as flat arrays with links to places in them."""
     nodes = sorted(nodes, key=lambda r: (r.tree_id, r.node_id))
-    roots = [i for i, r in enumerate(nodes) if r.node_id == 0]
-    base = {nodes[i].tree_id: i for i in roots}
+    place = {(r.tree_id, r.node_id): i for i, r in enumerate(nodes)}
     return {
-        "roots": np.array(roots, dtype=np.int64),
+        "roots": np.array([i for i, r in enumerate(nodes) if r.node_id == 0], dtype=np.int64),
         "feature": np.array([r.feature for r in nodes], dtype=np.int64),
         "threshold": np.array([r.threshold for r in nodes]),
-        "left": np.array([base[r.tree_id] + r.left for r in nodes], dtype=np.int64),
-        "right": np.array([base[r.tree_id] + r.right for r in nodes], dtype=np.int64),
-        "path": np.array([r.path_length for r in nodes]),
-        "scale": float(expected_path(max(r.sample_size for r in nodes))) or 1.0,
+        "left": np.array([place[r.tree_id, r.left] for r in nodes], dtype=np.int64),
+        "right": np.array([place[r.tree_id, r.right] for r in nodes], dtype=np.int64),
+        "path": np.array([round(r.path_length * PATH_UNIT) for r in nodes], dtype=np.int64),
     }
 
 
-def _mean_path(x: np.ndarray, m: dict) -> np.ndarray:
-    total = np.zeros(len(x))
+def _path_sum(x: np.ndarray, m: dict) -> np.ndarray:
+    total = np.zeros(len(x), np.int64)
     rows = np.arange(len(x))
     for root in m["roots"]:
         at = np.full(len(x), root)
@@ -129,7 +156,7 @@ def _mean_path(x: np.ndarray, m: dict) -> np.ndarray:
             left = x[rows, np.maximum(feature, 0)] <= m["threshold"][at]
             at = np.where(inner, np.where(left, m["left"][at], m["right"][at]), at)
         total += m["path"][at]
-    return total / len(m["roots"])
+    return total
 
 
 def forest_score(nodes: DataFrame, features: list[str]) -> Column:
@@ -137,15 +164,16 @@ def forest_score(nodes: DataFrame, features: list[str]) -> Column:
     rows = bounded_rows(nodes, MAX_NODES)
     if rows is None:
         raise ValueError(f"a forest has at most {MAX_NODES} nodes")
-    packed = nodes.sparkSession.sparkContext.broadcast(_pack(rows))
+    model = _pack(rows)
+    scale = (float(expected_path(max(r.sample_size for r in rows))) or 1.0) * PATH_UNIT * len(model["roots"])
+    packed = nodes.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(DoubleType())
-    def score(*columns: pd.Series) -> pd.Series:
-        model = packed.value
+    @F.pandas_udf(LongType())
+    def paths(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        return pd.Series(-np.power(2.0, -_mean_path(x, model) / model["scale"]))
+        return pd.Series(_path_sum(x, packed.value))
 
-    return score(*feature_vector(features))
+    return -F.pow(F.lit(2.0), -paths(*model_inputs(features)) / F.lit(scale))
 
 
 def contamination_offset(scores: DataFrame, column: str, contamination: float) -> float:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import constants as C
 from . import schemas
+from .forest_sql import verdict_ctes
 
 INCIDENTS = """
 base AS (
@@ -70,6 +71,9 @@ features AS (
   FROM history)"""
 
 
+JUDGED = FEATURES + "," + verdict_ctes("features", C.BATCH_FEATURES, C.CONTAMINATION)
+
+
 def _metrics(source: str, flag: str, truth: str, by: str = "") -> str:
     hit, real = f"{flag} = 1", f"{truth}::BOOLEAN"
     lead, tail = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
@@ -418,6 +422,43 @@ SELECT service_name, round(q, 6) AS cutoff, count(*) FILTER (abs(z) > q) AS flag
 FROM flagged, (SELECT quantile_cont(abs(z), 0.95) AS q FROM flagged) GROUP BY service_name, q"""),
     "forest_verdict_share": """
 SELECT count(*) AS "rows", ceil((count(*) - 1) * 0.05)::BIGINT AS flagged FROM events""",
+    "isolation_forest_scores": _with(JUDGED, f"""
+SELECT incident_id, service_name, round(anomaly_score, 6) AS anomaly_score, round(risk_score, 6) AS risk_score,
+  if_anomaly, if_anomaly = 1 AS is_anomaly, '{C.ANOMALY_TYPE}' AS anomaly_type, '{C.MODEL_NAME}' AS model_name FROM judged"""),
+    "detector_comparison": _with(JUDGED, f"""
+SELECT *, CASE WHEN place = 1 THEN 'champion' ELSE 'challenger' END AS role
+FROM (SELECT *, row_number() OVER (ORDER BY recall DESC, f1 DESC, model)::INTEGER AS place
+  FROM (SELECT 'isolation_forest' AS model, * FROM ({_metrics("judged", "if_anomaly", "sla_breached")})
+    UNION ALL SELECT 'z_score_baseline', * FROM ({_metrics("judged", "z_anomaly", "sla_breached")})))"""),
+    "tracked_runs": _with(FEATURES + "," + verdict_ctes("features", C.TRACKING_FEATURES, C.CONTAMINATION), """
+SELECT 'anomaly_detection_parent' AS run_id, NULL::VARCHAR AS parent_run_id, '' AS model, 'tag' AS kind,
+  unnest(['domain', 'version']) AS key, unnest(['operations', '1.0']) AS value """ + "".join(f"""
+UNION ALL SELECT '{run}', 'anomaly_detection_parent', '{run}', unnest({['param'] * len(params) + ['metric'] * 3}),
+  unnest({[*params, 'precision', 'recall', 'f1']}), unnest([{", ".join(f"'{v}'" for v in params.values())},
+    coalesce(tp / nullif(tp + fp, 0), 0)::VARCHAR, coalesce(tp / nullif(tp + fn, 0), 0)::VARCHAR,
+    coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)::VARCHAR])
+FROM (SELECT tp, fp, fn FROM ({_metrics("judged", flag, "sla_breached")}))""" for run, flag, params in (
+        ("z_score_model", "z_anomaly", {"method": "z_score"}),
+        ("isolation_forest", "if_anomaly", {"model": "IsolationForest", "contamination": str(C.CONTAMINATION)})))),
+    "score_batch": _with(FEATURES + """,
+day AS (SELECT * FROM features WHERE "timestamp"::DATE = DATE '2024-01-15'),
+day_stats AS (
+  SELECT service_name, avg(resolution_time_mins) AS m, stddev_pop(resolution_time_mins) AS s FROM day GROUP BY 1),
+day_features AS (
+  SELECT day.* REPLACE ((resolution_time_mins - m) / nullif(s, 0) AS z_score,
+    CASE WHEN abs((resolution_time_mins - m) / nullif(s, 0)) > 3 THEN 1 ELSE 0 END::INTEGER AS z_anomaly)
+  FROM day JOIN day_stats USING (service_name)),""" + verdict_ctes(
+        "day_features", C.BATCH_FEATURES, C.CONTAMINATION), f"""
+SELECT service_name, incident_id, "timestamp", severity, round(resolution_time_mins, 4) AS resolution_time_mins,
+  sla_threshold_mins, region, team, root_cause, hour, sla_breached, repeat_incident, day_of_week, week_of_year, month,
+  is_month_end, {_LAG_ROUND}, {_settled(_ROLLING_NAMES)}, round(total_resolution_time, 2) AS total_resolution_time,
+  round(severity_x_resolution, 4) AS severity_x_resolution, label_anomaly, round(z_score, 6) AS z_score, z_anomaly,
+  round(anomaly_score, 6) AS anomaly_score, if_anomaly, round(risk_score, 6) AS risk_score, if_anomaly = 1 AS is_anomaly,
+  '{C.ANOMALY_TYPE}' AS anomaly_type, '{C.MODEL_NAME}' AS model_name, 'batch' AS run_id FROM judged"""),
+    "saved_model_scores": _with(FEATURES + "," + verdict_ctes(
+        "features", C.BATCH_FEATURES, C.CONTAMINATION, '"timestamp" < TIMESTAMP \'2024-01-24\'',
+        '"timestamp" >= TIMESTAMP \'2024-01-24\''), """
+SELECT incident_id, service_name, round(anomaly_score, 6) AS anomaly_score, if_anomaly FROM judged"""),
     "rule_comparison": _with(FLAGGED, f"""
 SELECT * REPLACE (recall AS recall), CASE WHEN row_number() OVER
     (ORDER BY recall DESC, f1 DESC, model) = 1 THEN 'champion' ELSE 'challenger' END AS role,
