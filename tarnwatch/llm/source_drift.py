@@ -206,11 +206,12 @@ def pair_divergence(columns: DataFrame, tile: int) -> DataFrame:
     blocks = columns.groupBy("lang").agg(F.floor(F.max("number") / tile).cast("int").alias("last"))
     own = F.floor(F.col("number") / tile).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("last")))
-    cells = columns.join(blocks, "lang").withColumn("own", own).withColumn("other", other).withColumns(
-        {"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other", "last")
+    # A cell is one key: a language is dealt by its segments and blocks, not as a whole.
+    cells = columns.join(blocks, "lang").withColumn("own", own).withColumn("other", other).withColumn(
+        "cell", F.struct("lang", "segment", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
 
     def run(key, rows):
-        i, j = key[2].as_py(), key[3].as_py()
+        lang, _, i, j = key[0].as_py().values()
         rows = rows.select(["length", "source", "own", "n", "v", "starts", "counts"]).to_pylist()
         for row in rows:
             row["at"], row["p"] = np.array(row["starts"]), probabilities(np.array(row["counts"], np.int64), row["n"], row["v"])
@@ -221,10 +222,10 @@ def pair_divergence(columns: DataFrame, tile: int) -> DataFrame:
                 value = run_divergence(a["at"], a["p"], b["at"], b["p"], a["length"]) if a["length"] else 0
                 found += (a["source"], b["source"], value), (b["source"], a["source"], value)
         source, item, value = zip(*found) if found else ((), (), ())
-        return pa.table({"lang": pa.array([key[0].as_py()] * len(found), pa.string()), "source": pa.array(source, pa.string()),
+        return pa.table({"lang": pa.array([lang] * len(found), pa.string()), "source": pa.array(source, pa.string()),
                          "item": pa.array(item, pa.string()), "value": pa.array(value, pa.int64())})
 
-    parts = cells.groupBy("lang", "segment", "i", "j").applyInArrow(run, "lang string, source string, item string, value long")
+    parts = cells.drop("lang", "segment", "other", "last").groupBy("cell").applyInArrow(run, "lang string, source string, item string, value long")
     return parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
