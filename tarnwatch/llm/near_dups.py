@@ -13,7 +13,8 @@ others. Where that leaves several components in a group, its members are cut int
 task compares two blocks: only members of different components, and only links are
 returned. So every two documents that share a band are compared or known to be connected. A pair
 is first judged by the collision-corrected estimate of its two sketches, with a margin of six
-standard deviations, then confirmed on the full sets.
+standard deviations; the pairs that pass are confirmed on the full sets, which candidates carry as
+arrays of hashes: no text is read again.
 
 Defined cases: a text without words, or null, has an empty set and is linked with nothing; one or
 two words are one shingle; a row without doc_id is linked with nothing, its component is null
@@ -41,6 +42,7 @@ THRESHOLD = (85, 100)
 SMALL = 12
 BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
 DEVIATIONS = 6
+REMEMBER = 100_000
 
 
 # --- Sets and sketches (inside tasks) -----------------------------------------------
@@ -56,7 +58,7 @@ class WordHashes(dict):
     """64-bit hashes of words, remembered while the task runs."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > REMEMBER:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -152,47 +154,62 @@ def band_members(classes: DataFrame) -> DataFrame:
     return rows.join(shared.where("first < last").select("band", "members"), "band")
 
 
-def confirm(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough: by the estimate first, then exactly."""
+def with_sets(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Classes (set_id, node, n_shingles, sketch) with their sets as `codes`, once each."""
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [shingle_set(raw, hashes) for raw in batch.column("text").to_pylist()]
+            # Rows that share a doc_id with the class but not its set are left out.
+            same = [hashlib.md5(s.tobytes()).digest() == name for s, name in zip(sets, batch.column("set_id").to_pylist())]
+            kept = [s for s, fits in zip(sets, same) if fits]
+            flat = np.concatenate(kept).view(np.int64) if kept else np.empty(0, np.int64)
+            codes = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, kept)]), pa.int32()), pa.array(flat))
+            rest = batch.select(["set_id", "node", "n_shingles", "sketch"]).filter(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*rest.columns, codes], names=[*rest.schema.names, "codes"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("binary").alias("text"))
+    return classes.join(texts, "node").select("set_id", "node", "n_shingles", "sketch", "text").mapInArrow(
+        run, "set_id binary, node long, n_shingles long, sketch binary, codes array<long>").dropDuplicates(["set_id", "node"])
+
+
+def likely_pairs(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The pairs (a, b) that may be links by their sizes and sketches."""
     over, under = THRESHOLD
 
     def run(batches):
-        hashes, remembered = WordHashes(), {}
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            sizes = [batch.column(f"n_{s}").to_numpy() for s in "ab"]
+            sketches = [batch.column(f"sketch_{s}") for s in "ab"]
+            few = np.minimum(*sizes)
+            for k in range(batch.num_rows):
+                a, b = (np.frombuffer(c[k].as_buffer(), np.uint16) for c in sketches)
+                seen = similarity_estimates(a, b[None], sizes[0][k], sizes[1][k:k + 1])[0]
+                keep[k] = seen >= over / under - DEVIATIONS * 0.5 / min(REGISTERS, few[k]) ** 0.5
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-        def set_of(raw):
-            codes = remembered.get(raw)
-            if codes is None:
-                if len(remembered) >= 64:
-                    remembered.pop(next(iter(remembered)))
-                codes = remembered[raw] = shingle_set(raw, hashes)
-            return codes
+    def side(s):
+        return candidates.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
 
-        for batch in batches:
-            rows = batch.to_pydict()
-            keep = []
-            for i, (sa, sb, na, nb) in enumerate(zip(rows["sketch_a"], rows["sketch_b"], rows["n_a"], rows["n_b"])):
-                few, many = sorted((na, nb))
-                if under * few < over * many:
-                    continue
-                margin = DEVIATIONS * 0.5 / min(REGISTERS, few) ** 0.5
-                other = np.frombuffer(sb, np.uint16)[None]
-                seen = similarity_estimates(np.frombuffer(sa, np.uint16), other, na, np.array([nb]))
-                if seen[0] < over / under - margin:
-                    continue
-                a, b = set_of(rows["text_a"][i]), set_of(rows["text_b"][i])
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                if under * common >= over * (len(a) + len(b) - common):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([rows[c][i] for i in keep], pa.int64()) for c in ("a", "b")], names=["a", "b"])
+    near = F.lit(under) * F.least("n_a", "n_b") >= F.lit(over) * F.greatest("n_a", "n_b")
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").where(near)
+    return joined.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
+
+
+def confirm(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough: by the estimate first, then exactly."""
+    over, under = THRESHOLD
 
     def side(s):
-        return candidates.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"),
-                                 F.col("sketch").alias(f"sketch_{s}"), F.col("text").alias(f"text_{s}"))
+        return candidates.select(F.col("node").alias(s), F.col("codes").alias(f"codes_{s}"))
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "text_a", "text_b").mapInArrow(
-        run, "a long, b long").distinct()
+    likely = stored(likely_pairs(pairs, candidates).distinct(), "likely")
+    both = likely.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", F.size("codes_a").alias("n_a"), F.size("codes_b").alias("n_b"),
+        F.size(F.array_intersect("codes_a", "codes_b")).cast("long").alias("common"))
+    return both.where(F.lit(under) * F.col("common") >= F.lit(over) * (F.col("n_a") + F.col("n_b") - F.col("common"))
+                      ).select("a", "b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -221,13 +238,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def linked_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Components of the classes (node, n_shingles, sketch) that have links."""
+    """Components of the classes (set_id, node, n_shingles, sketch) that have links."""
     spark = docs.sparkSession
     members = stored(band_members(classes), "members")
     named = members.select("node").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("binary").alias("text"))
-    candidates = stored(classes.join(named, "node", "left_semi").join(texts, "node")
-                        .dropDuplicates(["node", "n_shingles", "text"]), "candidates")
+    candidates = stored(with_sets(classes.join(named, "node", "left_semi"), docs), "candidates")
 
     few = members.where(F.col("members") <= SMALL).select("band", "node")
     other = few.select("band", F.col("node").alias("b"))
@@ -258,7 +273,7 @@ def open_cells(large: DataFrame, labels: DataFrame, candidates: DataFrame) -> Da
     groups = components(still.select(F.col("node").alias("a"), "b").distinct())
     rows = (still.select("node", "component").distinct()
             .join(groups.withColumnRenamed("component", "group"), "node").join(candidates, "node"))
-    sizes = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    sizes = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.size("codes") * 8).alias("bytes"))
     blocks = sizes.select("group", F.ceil(F.greatest(
         F.col("n") / BLOCK_ROWS, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
     dealt = rows.join(blocks, "group").withColumn(
@@ -266,7 +281,7 @@ def open_cells(large: DataFrame, labels: DataFrame, candidates: DataFrame) -> Da
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return (dealt.withColumn("other", other)
             .select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "node", "component", "n_shingles", "sketch", "text"))
+                    "block", "node", "component", "n_shingles", "sketch", "codes"))
 
 
 def cell_links(cells: DataFrame) -> DataFrame:
@@ -277,12 +292,13 @@ def cell_links(cells: DataFrame) -> DataFrame:
     over, under = THRESHOLD
 
     def run(key, rows):
-        rows = rows.to_pydict()
-        hashes = WordHashes()
+        lists = rows.column("codes").combine_chunks()
+        flat, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+        sets = [flat[start:end] for start, end in zip(ends, ends[1:])]
+        rows = rows.drop_columns(["codes"]).to_pydict()
         i, j = key[1].as_py(), key[2].as_py()
         left = [k for k, b in enumerate(rows["block"]) if b == i]
         right = [k for k, b in enumerate(rows["block"]) if b == j]
-        sets = [shingle_set(raw, hashes) for raw in rows["text"]]
         component, size = np.array(rows["component"]), np.array(rows["n_shingles"], np.int64)
         sketches = np.array([np.frombuffer(s, np.uint16) for s in rows["sketch"]])
         a, b = [], []
@@ -323,7 +339,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     classes = stored(filled.groupBy("set_id").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
         F.first("sketch").alias("sketch")), "classes")
-    labels = linked_classes(classes.select("node", "n_shingles", "sketch"), docs)
+    labels = linked_classes(classes, docs)
     named = classes.select("set_id", "node").join(labels, "node", "left").select(
         "set_id", F.coalesce("component", "node").alias("component"))
     whole = rows.select("row_key", "doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
