@@ -20,7 +20,7 @@ from tarnwatch import schemas
 from tarnwatch.functions.columns import calendar_columns
 from tarnwatch.functions.text import question_words
 from tarnwatch.operators.bounded import scratch_dir, stored
-from tarnwatch.operators import detectors, forest, monitoring, ranking, retrieval, windows
+from tarnwatch.operators import detectors, forest, monitoring, ranking, retrieval, vector_index, windows
 from tarnwatch.oracle import ORACLE_SQL
 from tarnwatch.plans import answers, assistant, feature_job, index_job as indexing, reports, scoring_job, tracking
 from tarnwatch.sources import corpus, tables
@@ -513,6 +513,17 @@ def knn_topk_by_cell(spark, d):
     return _rounded(df.select("query_id", "vec_id", "similarity", "rank"), 6, "similarity")
 
 
+def vector_index_recall(spark, d):
+    """Every row is indexed; every twentieth vector asks the cell index and the exact search."""
+    vectors = _table(spark, d, "embeddings").select("vec_id", "embedding")
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    centres = vector_index.fit_centres(vectors)
+    index = vector_index.build_index(vectors, centres)
+    found = vector_index.search(index, centres, asked, probes=vector_index.probes_for(index, centres))
+    reached = vector_index.recall(found, retrieval.vector_top_k(vectors, asked))
+    return reached.select("queries", "wanted", (F.col("recall") >= 0.9).alias("reached"))
+
+
 def _sample_hits(spark, d) -> tuple[DataFrame, DataFrame]:
     questions = _sample_questions(spark)
     return questions, retrieval.retrieve_by_keywords(_corpus_chunks(spark, d), questions)
@@ -599,7 +610,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     anomaly_rate_by_service, table_predicate, preview_ordered,
     corpus_union, documents_by_type, chunks, chunk_duplicates, chunks_indexed,
     index_job, chunk_snapshot_diff, keyword_hits, keyword_hits_sets, keyword_hits_batch, knn_topk,
-    knn_topk_by_cell, rerank_length, prompts, cited_answers, cited_answers_batch,
+    knn_topk_by_cell, vector_index_recall, rerank_length, prompts, cited_answers, cited_answers_batch,
     question_routes, knowledge_lookup, sla_status, prediction_lookup, assistant_context,
     assistant_context_first_k, assistant_trace,
 ]

@@ -618,6 +618,9 @@ GROUP BY question_id, score"""),
         "SELECT question_id, retrieval_rank, id, score FROM hits"),
     "knn_topk": _with(PROFILES, KNN),
     "knn_topk_by_cell": _with(PROFILES, KNN),
+    "vector_index_recall": f"""
+SELECT count(*) AS queries, count(*) * least({C.RETRIEVE_K}, (SELECT count(*) FROM embeddings)) AS wanted, true AS reached
+FROM embeddings WHERE vec_id % 20 = 0""",
     "rerank_length": _with(CORPUS_CHUNKS + "," + SAMPLE_QUESTIONS + "," + RERANKED, """
 SELECT question_id, id, retrieval_rank, rank FROM reranked"""),
     "prompts": _with(CORPUS_CHUNKS + "," + SAMPLE_QUESTIONS + "," + RERANKED, f"""
