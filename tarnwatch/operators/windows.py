@@ -28,21 +28,25 @@ def _one_row(value: str) -> Column:
     )
 
 
-def _merged(runs: list[str]) -> Column:
-    """Moments of neighbouring runs of rows as one run; all but the first may be absent.
+def _merge(df: DataFrame, keep: list[Column], wanted: dict[str, list[str]]) -> DataFrame:
+    """`keep` and, for every name in `wanted`, the moments of neighbouring runs of rows as one run.
 
-    Means are taken relative to the first run and deviations to the merged mean, so
-    nothing large cancels and equal values give exactly 0.
+    All but the first run may be absent. Means are taken relative to the first run and deviations to the
+    merged mean, so nothing large cancels and equal values give exactly 0. The merged mean is a column
+    of a step of its own; deviations refer to it.
     """
-    parts = [(f"coalesce({r}.n, 0)", f"coalesce({r}.mean, 0D)", f"coalesce({r}.m2, 0D)")
-             for r in runs]
-    first = f"{runs[0]}.mean"
-    total = " + ".join(n for n, _, _ in parts)
-    shift = " + ".join(f"{n} * ({mean} - {first})" for n, mean, _ in parts)
-    merged = f"({first} + ({shift}) / greatest({total}, 1))"
-    m2 = " + ".join(f"{m2} + {n} * ({mean} - {merged}) * ({mean} - {merged})"
-                    for n, mean, m2 in parts)
-    return F.expr(f"named_struct('n', {total}, 'mean', {merged}, 'm2', {m2})")
+    def parts(runs):
+        return [(f"coalesce({r}.n, 0)", f"coalesce({r}.mean, 0D)", f"coalesce({r}.m2, 0D)") for r in runs]
+
+    means, moments = [], []
+    for name, runs in wanted.items():
+        total = " + ".join(n for n, _, _ in parts(runs))
+        shift = " + ".join(f"{n} * ({mean} - {runs[0]}.mean)" for n, mean, _ in parts(runs))
+        means += [F.expr(total).alias(f"{name}_n"),
+                  F.expr(f"{runs[0]}.mean + ({shift}) / greatest({total}, 1)").alias(f"{name}_mean")]
+        m2 = " + ".join(f"{m2} + {n} * ({mean} - {name}_mean) * ({mean} - {name}_mean)" for n, mean, m2 in parts(runs))
+        moments.append(F.expr(f"named_struct('n', {name}_n, 'mean', {name}_mean, 'm2', {m2})").alias(name))
+    return df.select("*", *means).select(*keep, *moments)
 
 
 def add_history(df: DataFrame, window: WindowSpec, value: str, lags: dict[str, int] = LAG_ROWS,
@@ -66,10 +70,10 @@ def add_history(df: DataFrame, window: WindowSpec, value: str, lags: dict[str, i
     while size * RADIX <= max(widths.values()):
         steps = [F.lag(f"_run{size}", i * size).over(window).alias(f"_back{i}")
                  for i in range(1, RADIX)]
-        longer = _merged([f"_run{size}"] + [f"_back{i}" for i in range(1, RADIX)])
+        runs = [f"_run{size}"] + [f"_back{i}" for i in range(1, RADIX)]
         df = df.select(*keep, *done, *steps)
         size *= RADIX
-        df = df.select(*keep, *done, longer.alias(f"_run{size}"))
+        df = _merge(df, keep + done, {f"_run{size}": runs})
         done.append(F.col(f"_run{size}"))
 
     wanted = sorted({p for runs in pieces.values() for p in runs})
@@ -77,10 +81,8 @@ def add_history(df: DataFrame, window: WindowSpec, value: str, lags: dict[str, i
         (F.lag(f"_run{run}", offset).over(window) if offset else F.col(f"_run{run}"))
         .alias(f"_at{run}_{offset}") for run, offset in wanted
     ])
-    df = df.select(*keep, *[
-        _merged([f"_at{run}_{offset}" for run, offset in runs]).alias(f"_frame_{name}")
-        for name, runs in pieces.items()
-    ])
+    df = _merge(df, keep, {f"_frame_{name}": [f"_at{run}_{offset}" for run, offset in runs]
+                           for name, runs in pieces.items()})
     results = []
     for name in frames:
         frame = F.col(f"_frame_{name}")
@@ -178,6 +180,32 @@ def with_sharded_history(df: DataFrame, key: str, order: list[str], value: str,
     )
 
 
+def with_bucketed_history(df: DataFrame, key: str, order: list[str], value: str, bucket: Column,
+                          lags: dict[str, int] = LAG_ROWS, frames: dict[str, int] = FRAME_ROWS,
+                          shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """The same columns as one lazy plan: nothing runs, and nothing is written, while it is built.
+
+    `bucket` never falls along `order` (a minute of the timestamp, say). Rows are counted per key and
+    bucket; the counts before a bucket tell its shard of about `shard_rows` rows. Buckets that
+    reach into the rows a later shard looks back at are copied to it. A key of any size is
+    dealt by shards, a small one is a single shard, and rows are shuffled once.
+    """
+    reach = _reach(lags, frames)
+    rows = df.withColumn("_bucket", bucket)
+    before = Window.partitionBy("_key").orderBy("_own").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(F.col(key).alias("_key"), F.col("_bucket").alias("_own")).agg(F.count("*").alias("_n"))
+    start = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    first, last = F.floor(F.col("_start") / shard_rows), F.floor((F.col("_start") + F.col("_n") + (reach - 1)) / shard_rows)
+    shards = counts.select("_key", "_own", "_n", start.alias("_start")).select(
+        "_key", "_own", first.alias("_shard"), last.alias("_last"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_own"))
+    placed = rows.join(shards, same).select(
+        *df.columns, F.col("_shard").alias("_home"), F.explode(F.sequence("_shard", "_last")).alias("_shard"))
+    window = Window.partitionBy(key, "_shard").orderBy(*order)
+    return add_history(placed, window, value, lags, frames).where("_home = _shard").select(
+        *df.columns, *lags, *[f"rolling_{s}_{n}" for n in frames for s in ("mean", "std")])
+
+
 def hourly_trailing_means(df: DataFrame, key: str, ts: str, value: str,
                           days: dict[str, int]) -> DataFrame:
     """Per key and hour: mean of `value` over the trailing days, by time instead of by rows.

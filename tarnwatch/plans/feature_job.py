@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import IMPUTED_COLUMNS
 from ..functions.columns import calendar_columns
 from ..operators.monitoring import with_service_total
-from ..operators.windows import SHARD_ROWS, with_history
+from ..operators.windows import SHARD_ROWS, with_bucketed_history
 from ..schemas import FEATURES_OPERATIONS
 from ..sources.tables import check_schema
 
@@ -24,7 +24,8 @@ def feature_table(incidents: DataFrame, month_end: str = "midnight",
                   shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Calendar parts, lags, rolling statistics, service totals and the interaction."""
     df = incidents.select("*", *calendar_columns(month_end=month_end))
-    df = with_history(df, "service_name", ORDER, "resolution_time_mins", shard_rows=shard_rows)
+    df = with_bucketed_history(df, "service_name", ORDER, "resolution_time_mins",
+                               F.date_trunc("minute", "timestamp"), shard_rows=shard_rows)
     df = with_service_total(df).withColumn(
         "severity_x_resolution", F.col("severity") * F.col("resolution_time_mins"))
     return check_schema(impute(df), FEATURES_OPERATIONS)

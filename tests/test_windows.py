@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarnwatch.operators import windows
+from tarnwatch.plans.feature_job import feature_table
+from tarnwatch.sources.incidents import incidents_from_events
 
 LAGS = {"lag_a": 2, "lag_b": 7}
 FRAMES = {"short": 4, "long": 11}
@@ -60,6 +62,30 @@ def test_sharded_equals_plain(series, shard_rows):
     assert_same(rows(got), rows(reference(series)))
 
 
+@pytest.mark.parametrize("shard_rows", [3, 17, 60, 1000])
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_bucketed_equals_plain(series, shard_rows, width):
+    got = windows.with_bucketed_history(series, "k", ["t"], "v", F.floor(F.col("t") / width), LAGS, FRAMES, shard_rows)
+    assert_same(rows(got), rows(reference(series)))
+
+
+def test_bucketed_history_of_null_keys(spark):
+    df = spark.createDataFrame([(None, t, float(t)) for t in range(20)] + [("a", None, 1.0), ("a", 2, None)], SCHEMA)
+    got = windows.with_bucketed_history(df, "k", ["t"], "v", F.floor(F.col("t") / 4), LAGS, FRAMES, 6)
+    assert_same(rows(got), rows(reference(df)))
+
+
+def test_building_the_feature_table_starts_no_job(spark):
+    incidents = incidents_from_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "feature table")
+    df = feature_table(incidents)
+    spark.sparkContext.setJobGroup("running", "feature table")
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    assert df.count() == incidents.count() and list(tracker.getJobIdsForGroup("running"))
+    spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_hot_key_switches_to_shards(series, monkeypatch):
     called = []
     monkeypatch.setattr(windows, "with_sharded_history",
