@@ -23,6 +23,7 @@ import json
 import re
 import struct
 import zlib
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.bounded import stored
-from .shared import RangeReader, SharedWriter, work_folder
+from .shared import Numbering, RangeReader, SharedWriter, work_folder
 
 BLOCK = 1 << 16
 MAGIC = b"BPIDS\x00\x01\x00"
@@ -43,17 +44,18 @@ REMEMBER = 600_000
 
 def pack_planes(ids: np.ndarray) -> tuple[int, list[bytes]]:
     """(width, planes): bit j of all ids packed, most significant bit of a byte first."""
-    wide = len(ids) > 0 and int(ids.max()) >= 1 << 16
-    kind = ">u4" if wide else ">u2"
-    bits = np.unpackbits(ids.astype(kind).view(np.uint8).reshape(len(ids), -1), axis=1)
-    return bits.shape[1], [row.tobytes() if row.any() else b"" for row in np.packbits(bits.T, axis=1)]
+    width = 32 if len(ids) and int(ids.max()) >= 1 << 16 else 16
+    ids = ids.astype(np.uint32 if width == 32 else np.uint16)
+    rows = [np.packbits(((ids >> j) & 1).astype(bool)) for j in reversed(range(width))]
+    return width, [row.tobytes() if row.any() else b"" for row in rows]
 
 
 def unpack_planes(width: int, planes: list[bytes], n: int) -> np.ndarray:
-    zero = bytes((n + 7) // 8)
-    rows = np.frombuffer(b"".join(p or zero for p in planes), np.uint8).reshape(width, -1)
-    bits = np.unpackbits(rows, axis=1, count=n).T
-    return np.ascontiguousarray(np.packbits(bits, axis=1)).view(">u4" if width == 32 else ">u2").ravel().astype(np.uint32)
+    ids = np.zeros(n, np.uint32 if width == 32 else np.uint16)
+    for j, plane in zip(reversed(range(width)), planes):
+        if plane:
+            ids |= np.unpackbits(np.frombuffer(plane, np.uint8), count=n).astype(ids.dtype) << ids.dtype.type(j)
+    return ids.astype(np.uint32)
 
 
 class PlaneWriter:
@@ -139,34 +141,46 @@ def list_words(text: str) -> list[bytes]:
 
 
 class WordEncoder:
-    """Ids of a text from the ids of its words, as little-endian bytes; words are remembered."""
+    """Ids of texts from the ids of their words, each text closed by an end id.
 
-    def __init__(self, tokenizer_json: str):
+    Words are numbered when first seen; the ids of all numbers lie one after the other in one array,
+    so a batch of texts is one gather. Number 0 is the end of a text.
+    """
+
+    def __init__(self, tokenizer_json: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
-        self._tokenizer = Tokenizer.from_str(tokenizer_json)
-        self._known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [list_words(t) if t else [] for t in texts]
-        known = self._known
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > REMEMBER:
-            known.clear()
-            new = list({w for words in split for w in words})
+        self._tokenizer, self._end_id = Tokenizer.from_str(tokenizer_json), end_id
+        self._start_over()
+
+    def _start_over(self) -> None:
+        self._numbers = Numbering({b"": 0})
+        self._ids, self._starts = np.array([self._end_id], np.uint32), np.array([0, 1], np.int64)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids of each text)."""
+        if len(self._numbers) > REMEMBER:
+            self._start_over()
+        split = [(list_words(t) if t else []) + [b""] for t in texts]
+        sizes = np.array(list(map(len, split)), np.int64)
+        numbers = np.fromiter(map(self._numbers.__getitem__, chain.from_iterable(split)), np.int64, sizes.sum())
+        self._learn()
+        first = self._starts[numbers]
+        many = self._starts[numbers + 1] - first
+        ids = self._ids[np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+        return ids, np.add.reduceat(many, np.cumsum(sizes) - sizes)
+
+    def _learn(self) -> None:
+        """Encode new words, some as one text; a token belongs to the word in which it begins."""
+        new = [w.decode() for w in islice(self._numbers, len(self._starts) - 1, None)]
+        ids, starts = [self._ids], [self._starts]
         for at in range(0, len(new), 500):
-            self._learn([w.decode() for w in new[at:at + 500]])
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
-
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words as one text; a token belongs to the word in which it begins."""
-        found = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        starts = np.concatenate([[0], np.cumsum(lengths + 1)])
-        begins = np.array([o[0] for o in found.offsets], np.int64)
-        ids = np.array(found.ids, "<u4").tobytes()
-        cuts = (4 * np.searchsorted(begins, starts)).tolist()
-        self._known.update((w.encode(), ids[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
+            words = new[at:at + 500]
+            found = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
+            after = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+            begins = np.array([o[0] for o in found.offsets], np.int64)
+            ids.append(np.array(found.ids, np.uint32))
+            starts.append(starts[-1][-1] + np.searchsorted(begins, after))
+        self._ids, self._starts = np.concatenate(ids), np.concatenate(starts)
 
 
 # --- The operator ------------------------------------------------------------------------
@@ -179,17 +193,15 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, folder: str, end_id:
     within the file.
     """
     def run(batches):
-        encoder = WordEncoder(tokenizer_json)
-        end = np.array([end_id], "<u4")
+        encoder = WordEncoder(tokenizer_json, end_id)
         writer, doc_ids, counts = None, [], []
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             for at in range(0, len(ids), 256):
                 writer = writer or PlaneWriter(folder, block)
-                for found in encoder.encode(texts[at:at + 256].to_pylist()):
-                    writer.add(found)
-                    writer.add(end)
-                    counts.append(len(found) + 1)
+                found, sizes = encoder.encode(texts[at:at + 256].to_pylist())
+                writer.add(found)
+                counts.extend(sizes.tolist())
             doc_ids.append(ids)
         if writer is None:
             return
