@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow.dataset
+import pyarrow.fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,24 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, column: str, name: str) -> str:
+    """Write `df` to the shared folder, a subfolder per value of `column`, and give the path."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.repartition(column).write.partitionBy(column).parquet(path)
+    return path
+
+
+def read_folder(path: str, columns: list[str]) -> list[tuple]:
+    """Rows of a small Parquet folder of the shared folder, read inside a task; none if it is not there."""
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    store, inside = (pyarrow.fs.LocalFileSystem(), path) if path.startswith("/") else pyarrow.fs.FileSystem.from_uri(path)
+    if store.get_file_info(inside).type == pyarrow.fs.FileType.NotFound:
+        return []
+    table = pyarrow.dataset.dataset(inside, filesystem=store, format="parquet").to_table(columns=columns)
+    return list(zip(*[table.column(c).to_pylist() for c in columns]))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deal a table of few files to all cores before heavy per-row work.
 

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from ..constants import RETRIEVE_K
 from ..functions.text import chunk_key, clean_text, explode_chunks, keyword_score
-from .bounded import bounded_rows, spread, stored
+from .bounded import bounded_rows, read_folder, spread, stored, stored_by
 from .ranking import top_k
 
 # Up to this many questions and keywords are written into the scan's expressions.
 INLINE_QUESTIONS = 64
 INLINE_KEYWORDS = 512
 # Keywords of the questions that one scan answers, and chunks scored at a time.
-BLOCK_KEYWORDS = 100_000
+BLOCK_KEYWORDS, BLOCK_QUESTIONS = 100_000, 4_096
 SCORED_ROWS = 2_048
 # Up to this many query vectors are sent to every task.
 INLINE_VECTORS = 1024
@@ -145,37 +145,40 @@ def _score_by_join(chunks: DataFrame, wanted: DataFrame) -> DataFrame:
 def best_chunks(chunks: DataFrame, questions: DataFrame, k: int) -> DataFrame:
     """question_id, id, score of about `k` best chunks per question and task; no pair is shuffled.
 
-    The chunks stay where they are and are scanned once per block of questions. A block has
-    about BLOCK_KEYWORDS keywords, whatever the number of questions; it goes to every task.
+    The chunks stay where they are and are scanned once per block of questions. A block has about
+    BLOCK_KEYWORDS keywords and BLOCK_QUESTIONS questions at most, whatever their number. Blocks are
+    folders of a stored table; a task reads its own from there, nothing passes through the driver.
     """
     schema = "question_id string, id string, score int"
     wanted = stored(question_keywords(questions), "keywords")
-    blocks = math.ceil(wanted.count() / BLOCK_KEYWORDS)
-    spot = F.pmod(F.xxhash64("question_id"), F.lit(max(1, blocks)))
+    size = wanted.agg(F.count("*").alias("keywords"), F.count_distinct("question_id").alias("questions")).first()
+    blocks = max(math.ceil(size["keywords"] / BLOCK_KEYWORDS), math.ceil(size["questions"] / BLOCK_QUESTIONS))
     out = chunks.sparkSession.createDataFrame([], schema)
-    for b in range(blocks):
-        rows = wanted.where(spot == b).collect()
-        if not rows:
-            continue
-        block = chunks.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
-        out = out.unionAll(chunks.select("id", "text_clean").mapInArrow(_best_of(block, k), schema))
+    if blocks:
+        spot = F.pmod(F.xxhash64("question_id"), F.lit(blocks)).cast("int")
+        folder = stored_by(wanted.withColumn("block", spot), "block", "keyword-blocks")
+        for b in range(blocks):
+            out = out.unionAll(chunks.select("id", "text_clean").mapInArrow(_best_of(f"{folder}/block={b}", k), schema))
     return out
 
 
-def _best_of(block, k: int):
+def _best_of(folder: str, k: int):
     """Scan function: keywords found by one automaton, best chunks kept per question."""
     def scan(batches):
         import ahocorasick
-        names = sorted({q for q, _ in block.value})
+        pairs = read_folder(folder, ["question_id", "keyword"])
+        names = sorted({q for q, _ in pairs})
         place = {q: i for i, q in enumerate(names)}
         asking: dict[str, list[int]] = {}
-        for question, word in block.value:
+        for question, word in pairs:
             asking.setdefault(word, []).append(place[question])
         finder = ahocorasick.Automaton()
         owners = []
         for word, own in asking.items():
             finder.add_word(word, len(owners))
             owners.append(np.array(own))
+        if not names:
+            return
         finder.make_automaton()
         held = [[] for _ in names]
         for batch in batches:
