@@ -177,6 +177,15 @@ def feature_table(spark, d):
     return _settled(_rounded(df, 2, "total_resolution_time"), *ROLLING)
 
 
+def features_of_a_day(spark, d):
+    """The features written by day, then one day read: its scan lists one folder."""
+    folder = f"{scratch_dir(spark)}/features-{os.urandom(6).hex()}"
+    feature_job.save_features(_features(spark, d), folder)
+    df = feature_job.read_features(spark, folder, "2024-01-15", "2024-01-15").drop("event_date")
+    df = _rounded(df, 4, "resolution_time_mins", *C.LAG_ROWS, "severity_x_resolution")
+    return _settled(_rounded(df, 2, "total_resolution_time"), *ROLLING)
+
+
 def feature_vectors(spark, d):
     df = detectors.with_zscore(_features(spark, d))
     df = df.select("incident_id", *detectors.feature_vector(C.TRACKING_FEATURES))
@@ -305,6 +314,19 @@ def saved_model_scores(spark, d):
     return _rounded(df.select("incident_id", "service_name", "anomaly_score", "if_anomaly"), 6, "anomaly_score")
 
 
+def aliased_model_scores(spark, d):
+    """Two stored models, looked up by alias, judge the recent days."""
+    folder = f"{scratch_dir(spark)}/models-{os.urandom(6).hex()}"
+    features = monitoring.split_windows(_saved_features(spark, d), AS_OF)
+    for alias, share in (("champion", C.CONTAMINATION), ("challenger", 2 * C.CONTAMINATION)):
+        model = scoring_job.train_model(features.where("window = 'baseline'"), contamination=share)
+        scoring_job.save_model(model, folder, alias, "2024-01-24")
+    recent = features.where("window = 'current'").drop("window")
+    parts = [scoring_job.anomaly_scores(recent, model=scoring_job.load_model(spark, folder, alias, AS_OF)).select(
+        F.lit(alias).alias("alias"), "incident_id", "anomaly_score", "if_anomaly") for alias in ("champion", "challenger")]
+    return _rounded(parts[0].unionAll(parts[1]), 6, "anomaly_score")
+
+
 def model_performance(spark, d):
     scores = _flagged(spark, d).withColumns({
         "model_name": F.when(F.col("service_name") == "error", "z_error").otherwise("z_other"),
@@ -466,17 +488,29 @@ def index_job(spark, d):
                                 f"{scratch_dir(spark)}/rag-chunks-{run}")
 
 
-def chunk_snapshot_diff(spark, d):
-    """Last delivery against a new one: one source rewritten, toxic ones gone, pages added."""
+def _new_delivery(spark, d) -> DataFrame:
+    """Chunks of the next delivery: one source rewritten, toxic ones gone, pages added."""
     docs = _table(spark, d, "documents")
     toxic = _table(spark, d, "labels").where("toxic = 1").select("doc_id")
     edited = docs.join(toxic, "doc_id", "left_anti").withColumn(
         "text", F.when(F.col("source") == "src1", F.translate("text", ".", ";")).otherwise(F.col("text")))
     new = corpus.assemble(corpus.from_documents(edited),
                           corpus.from_pages(_table(spark, d, "pages")))
-    old = _document_chunks(spark, d)
-    return tables.snapshot_diff(
-        old, retrieval.keyed_chunks(retrieval.chunk_documents(new)), "id", F.col("text"))
+    return retrieval.keyed_chunks(retrieval.chunk_documents(new))
+
+
+def chunk_snapshot_diff(spark, d):
+    """Last delivery against a new one."""
+    return tables.snapshot_diff(_document_chunks(spark, d), _new_delivery(spark, d), "id", F.col("text"))
+
+
+def updated_chunks(spark, d):
+    """The stored chunk table after the new delivery's changes were applied to it, by buckets of keys."""
+    folder = f"{scratch_dir(spark)}/chunk-table-{os.urandom(6).hex()}"
+    indexing.save_buckets(_document_chunks(spark, d), folder)
+    new = stored(_new_delivery(spark, d), "delivery")
+    indexing.apply_changes(new, folder)
+    return indexing.read_buckets(spark, folder, new).select("id", "doc_type", F.md5("text").alias("digest"))
 
 
 def keyword_hits(spark, d):
@@ -594,14 +628,27 @@ def assistant_trace(spark, d):
         "question_id", F.to_json("tool_trace").alias("trace"))
 
 
+def assistant_tools(spark, d):
+    """What all four tools give: the users' questions, and one per service and week about its own data."""
+    flagged = _flagged(spark, d)
+    weeks = flagged.select("service_name", F.trunc(F.to_date("timestamp"), "week").alias("week")).distinct()
+    asked = weeks.select(
+        F.concat_ws("_", F.lit("week"), "service_name", "week").alias("question_id"),
+        F.concat_ws(" ", F.lit("predict"), "service_name", F.lit("from"), "week", F.lit("to"), F.date_add("week", 6),
+                    F.lit("and the performance of model z_score")).alias("question"))
+    performance = detectors.detector_metrics(flagged, "z_anomaly").select(F.lit("z_score").alias("model_name"), "f1")
+    df = assistant.tool_outputs(_all_questions(spark, d).unionByName(asked), flagged, performance, _document_chunks(spark, d))
+    return _rounded(df, 6, "prediction", "f1")
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     incidents, exact_fraction_pick, planted_incidents, calendar_features, month_end_flag, lag_features,
     rolling_features, sharded_history, time_rolling, service_total_join, feature_table,
-    feature_vectors,
+    features_of_a_day, feature_vectors,
     zscore_flags, zscore_metrics, zscore_metrics_vs_label, contamination_cutoff,
     isolation_forest_scores, forest_verdict_share, detector_comparison, rule_comparison,
     arm_split_metrics, run_metrics, tracked_runs, null_report, schema_report, score_batch, score_batch_days,
-    saved_model_scores, model_performance,
+    saved_model_scores, aliased_model_scores, model_performance,
     alert_fatigue, alert_triggers, numeric_drift, categorical_drift, drift_significance,
     quality_profile, incident_checks,
     anomalies_by_service, anomaly_trend_daily, anomaly_trend_hourly, resolution_by_team,
@@ -609,10 +656,10 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     breach_rate_by_service, severity_breakdown, score_histogram, dashboard_filters,
     anomaly_rate_by_service, table_predicate, preview_ordered,
     corpus_union, documents_by_type, chunks, chunk_duplicates, chunks_indexed,
-    index_job, chunk_snapshot_diff, keyword_hits, keyword_hits_sets, keyword_hits_batch, knn_topk,
+    index_job, chunk_snapshot_diff, updated_chunks, keyword_hits, keyword_hits_sets, keyword_hits_batch, knn_topk,
     knn_topk_by_cell, vector_index_recall, rerank_length, prompts, cited_answers, cited_answers_batch,
     question_routes, knowledge_lookup, sla_status, prediction_lookup, assistant_context,
-    assistant_context_first_k, assistant_trace,
+    assistant_context_first_k, assistant_trace, assistant_tools,
 ]
 
 

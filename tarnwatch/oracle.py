@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import constants as C
 from . import schemas
-from .forest_sql import verdict_ctes
+from .forest_sql import forest_ctes, verdict_ctes
 
 INCIDENTS = """
 base AS (
@@ -277,6 +277,34 @@ rates AS (
       AS alert_fatigue_rate
   FROM flagged WHERE "timestamp" >= {_AS_OF} GROUP BY service_name)"""
 
+NEW_DELIVERY = DOCUMENT_CHUNKS + """,
+edited AS (
+  SELECT 'doc_' || doc_id AS doc_id, 'document' AS doc_type,
+    CASE WHEN source = 'src1' THEN translate(text, '.', ';') ELSE text END AS content
+  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
+  UNION ALL SELECT 'page_' || page_id, 'page', html FROM pages),""" + (
+      _chunk_cte("edited", "cut2") + "," + _keyed_cte("cut2", "chunks2"))
+
+TOOL_QUESTIONS = FLAGGED + "," + DOCUMENT_CHUNKS + "," + ALL_QUESTIONS.replace("asked AS", "users AS", 1) + """,
+asked AS (
+  SELECT * FROM users UNION ALL
+  SELECT 'week_' || service_name || '_' || week, 'predict ' || service_name || ' from ' || week || ' to '
+    || (week + 6) || ' and the performance of model z_score'
+  FROM (SELECT DISTINCT service_name, date_trunc('week', "timestamp")::DATE AS week FROM flagged)),
+""" + _routes() + "," + _KB_QUESTIONS + "," + _hits(C.KNOWLEDGE_K) + """,
+named AS (
+  SELECT question_id, tools, unnest(list_distinct(string_split_regex(lower(question), '[^\\p{L}\\p{N}_]+'))) AS word,
+    [try_cast(d AS DATE) FOR d IN regexp_extract_all(question, '\\b([0-9]{4}-[0-9]{2}-[0-9]{2})\\b', 1)] AS days
+  FROM routed),
+predicted AS (
+  SELECT question_id, s.service_name AS entity_id, count(f.incident_id) AS incidents,
+    coalesce(count(*) FILTER (f.is_anomaly) / nullif(count(f.incident_id), 0), 0) AS prediction
+  FROM named JOIN (SELECT DISTINCT service_name FROM flagged) s ON lower(s.service_name) = word
+  LEFT JOIN flagged f ON f.service_name = s.service_name
+    AND f."timestamp"::DATE >= coalesce(list_min(days), DATE '0001-01-01')
+    AND f."timestamp"::DATE <= CASE WHEN len(list_distinct(days)) > 1 THEN list_max(days) ELSE DATE '9999-12-31' END
+  WHERE list_contains(tools, 'get_ml_prediction') GROUP BY 1, 2)"""
+
 TWICE = DOCUMENTS + "," + _chunk_cte("docs", "cut") + """,
 twice AS (
   SELECT * FROM cut UNION ALL
@@ -459,6 +487,13 @@ SELECT service_name, incident_id, "timestamp", severity, round(resolution_time_m
         "features", C.BATCH_FEATURES, C.CONTAMINATION, '"timestamp" < TIMESTAMP \'2024-01-24\'',
         '"timestamp" >= TIMESTAMP \'2024-01-24\''), """
 SELECT incident_id, service_name, round(anomaly_score, 6) AS anomaly_score, if_anomaly FROM judged"""),
+    "aliased_model_scores": _with(FEATURES + "," + forest_ctes(
+        "features", C.BATCH_FEATURES, '"timestamp" < TIMESTAMP \'2024-01-24\'', '"timestamp" >= TIMESTAMP \'2024-01-24\''), f"""
+SELECT alias, incident_id, round(raw - q, 6) AS anomaly_score, CASE WHEN raw - q < 0 THEN 1 ELSE 0 END::INTEGER AS if_anomaly
+FROM forest_raw JOIN forest_rows USING (incident_id), (
+  SELECT unnest(['champion', 'challenger']) AS alias, unnest([quantile_cont(raw, {C.CONTAMINATION}), quantile_cont(raw, {2 * C.CONTAMINATION})]) AS q
+  FROM forest_raw JOIN forest_rows USING (incident_id) WHERE fitted)
+WHERE NOT fitted"""),
     "rule_comparison": _with(FLAGGED, f"""
 SELECT * REPLACE (recall AS recall), CASE WHEN row_number() OVER
     (ORDER BY recall DESC, f1 DESC, model) = 1 THEN 'champion' ELSE 'challenger' END AS role,
@@ -588,19 +623,14 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY text) = 1"""),
 keys AS (SELECT id, count(*) AS n FROM chunks GROUP BY id)""", """
 SELECT 'delivered' AS stage, sum(n)::BIGINT AS "rows", (count(*) FILTER (n > 1))::BIGINT AS duplicate_keys FROM keys
 UNION ALL SELECT 'indexed', count(*), 0::BIGINT FROM keys"""),
-    "chunk_snapshot_diff": _with(DOCUMENT_CHUNKS + """,
-edited AS (
-  SELECT 'doc_' || doc_id AS doc_id, 'document' AS doc_type,
-    CASE WHEN source = 'src1' THEN translate(text, '.', ';') ELSE text END AS content
-  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
-  UNION ALL SELECT 'page_' || page_id, 'page', html FROM pages),"""
-        + _chunk_cte("edited", "cut2") + "," + _keyed_cte("cut2", "chunks2"), """
+    "chunk_snapshot_diff": _with(NEW_DELIVERY, """
 SELECT * FROM (
   SELECT coalesce(a.id, b.id) AS id, md5(a.text) AS old_digest, md5(b.text) AS new_digest,
     CASE WHEN a.id IS NULL THEN 'insert' WHEN b.id IS NULL THEN 'delete'
       WHEN md5(a.text) <> md5(b.text) THEN 'update' END AS change
   FROM chunks a FULL OUTER JOIN chunks2 b ON a.id = b.id)
 WHERE change IS NOT NULL"""),
+    "updated_chunks": _with(NEW_DELIVERY, "SELECT id, doc_type, md5(text) AS digest FROM chunks2"),
     "keyword_hits": _with(CORPUS_CHUNKS, """
 SELECT * FROM (
   SELECT id, (contains(text_clean, 'sla')::INTEGER + contains(text_clean, 'breach')::INTEGER
@@ -665,6 +695,17 @@ SELECT question_id, '[' || array_to_string([t FOR t IN [
   ] IF t IS NOT NULL], ',') || ']' AS trace
 FROM routed LEFT JOIN (SELECT question_id, count(*) AS docs FROM hits GROUP BY question_id)
   USING (question_id), status"""),
+    "assistant_tools": _with(TOOL_QUESTIONS, f"""
+SELECT question_id, 'query_delta_table' AS tool, NULL::VARCHAR AS entity_id, (SELECT count(*) FROM flagged) AS incidents,
+  NULL::DOUBLE AS prediction, NULL::BIGINT AS docs_returned, NULL::DOUBLE AS f1
+FROM routed WHERE list_contains(tools, 'query_delta_table')
+UNION ALL SELECT question_id, 'get_ml_prediction', entity_id, incidents, round(prediction, 6), NULL, NULL FROM predicted
+UNION ALL SELECT q.question_id, 'search_knowledge_base', NULL, NULL, NULL, count(h.id), NULL
+FROM questions q LEFT JOIN hits h USING (question_id) GROUP BY 1
+UNION ALL SELECT question_id, 'get_model_performance', 'z_score', NULL, NULL, NULL, (SELECT f1 FROM ({_metrics("flagged", "z_anomaly", "sla_breached")}))
+FROM named WHERE word = 'z_score' AND list_contains(tools, 'get_model_performance')"""),
     "assistant_context_first_k": _with(ASSIST_BASE + "," + _context(_KB_FIRST), """
 SELECT question_id, context FROM contexts"""),
 }
+ORACLE_SQL["features_of_a_day"] = f"""
+SELECT * FROM ({ORACLE_SQL["feature_table"]}) WHERE "timestamp"::DATE = DATE '2024-01-15'"""

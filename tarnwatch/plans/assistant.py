@@ -99,6 +99,70 @@ def knowledge(questions: DataFrame, chunks: DataFrame, k: int = KNOWLEDGE_K,
     )
 
 
+def asked_ranges(questions: DataFrame, entities: DataFrame) -> DataFrame:
+    """(question_id, entity_id, start_date, end_date): which entity a question names, and its days.
+
+    `entities` has entity_id. Words of a question join on it; several entities give several rows. Without
+    two dates the range is open on one side or both (null).
+    """
+    dates = F.regexp_extract_all("question", F.lit(r"\b([0-9]{4}-[0-9]{2}-[0-9]{2})\b"), F.lit(1))
+    days = F.transform(dates, lambda d: F.try_to_date(d))
+    words = questions.select(
+        "question_id", F.explode(F.array_distinct(F.split(F.lower("question"), r"[^\p{L}\p{N}_]+"))).alias("word"),
+        F.array_min(days).alias("start_date"),
+        F.when(F.size(F.array_compact(F.array_distinct(days))) > 1, F.array_max(days)).alias("end_date"))
+    named = entities.select("entity_id", F.lower("entity_id").alias("word"))
+    return words.join(named, "word").select("question_id", "entity_id", "start_date", "end_date")
+
+
+def asked_predictions(asked: DataFrame, scores: DataFrame, flag: str = "is_anomaly", score: str = "risk_score") -> DataFrame:
+    """Per question and entity: incidents, flagged share and mean score between its days, both included.
+
+    Scores are added up per entity and day first, so a question meets days, not incidents.
+    """
+    daily = scores.groupBy(F.col("service_name").alias("entity_id"), F.to_date("timestamp").alias("day")).agg(
+        F.count("*").alias("n"), F.count_if(F.coalesce(F.col(flag).cast("boolean"), F.lit(False))).alias("flagged"),
+        F.sum(score).alias("total"), F.count(score).alias("scored"))
+    inside = ((F.col("start_date").isNull() | (F.col("day") >= F.col("start_date")))
+              & (F.col("end_date").isNull() | (F.col("day") <= F.col("end_date"))))
+    found = asked.join(daily, "entity_id").where(inside).groupBy("question_id", "entity_id").agg(
+        F.sum("n").alias("incidents"), F.sum("flagged").alias("flagged"), F.sum("total").alias("total"),
+        F.sum("scored").alias("scored"))
+    return asked.join(found, ["question_id", "entity_id"], "left").select(
+        "question_id", "entity_id", "start_date", "end_date", F.coalesce("incidents", F.lit(0)).alias("incidents"),
+        guarded_ratio(F.col("flagged"), F.col("incidents")).alias("prediction"),
+        F.try_divide(F.col("total"), F.col("scored")).alias("mean_score"))
+
+
+def tool_outputs(questions: DataFrame, scores: DataFrame, performance: DataFrame, chunks: DataFrame,
+                 k: int = KNOWLEDGE_K) -> DataFrame:
+    """(question_id, tool, entity_id, incidents, prediction, docs_returned, f1): what each tool a question
+    calls for gives it. `performance` has model_name and f1; a model's name in the question picks its row.
+    """
+    routed = stored(route(questions).select("question_id", "question", "tools"), "routed")
+
+    def calling(tool):
+        return routed.where(F.array_contains("tools", tool)).select("question_id", "question")
+
+    def rows(df, tool, **columns):
+        names = {"entity_id": "string", "incidents": "bigint", "prediction": "double", "docs_returned": "bigint", "f1": "double"}
+        return df.select("question_id", F.lit(tool).alias("tool"), *[
+            columns.get(n, F.lit(None)).cast(t).alias(n) for n, t in names.items()])
+
+    entities = scores.select(F.col("service_name").alias("entity_id")).where("entity_id IS NOT NULL").distinct()
+    total = stored(scores.agg(F.count("*").alias("n")), "status").scalar()
+    status = calling(QUERY).withColumn("n", total)
+    predicted = asked_predictions(asked_ranges(calling(PREDICT), entities), scores)
+    known = calling(KNOWLEDGE).join(knowledge(calling(KNOWLEDGE), chunks, k), "question_id", "left")
+    models = performance.select(F.col("model_name").alias("entity_id"), "f1")
+    judged = asked_ranges(calling(PERFORMANCE), models).join(models, "entity_id")
+    return (rows(status, QUERY, incidents=F.col("n"))
+            .unionByName(rows(predicted, PREDICT, entity_id=F.col("entity_id"), incidents=F.col("incidents"),
+                              prediction=F.col("prediction")))
+            .unionByName(rows(known, KNOWLEDGE, docs_returned=F.coalesce("docs_returned", F.lit(0))))
+            .unionByName(rows(judged, PERFORMANCE, entity_id=F.col("entity_id"), f1=F.col("f1"))))
+
+
 def assist(questions: DataFrame, status: DataFrame, prediction: DataFrame,
            performance: DataFrame, chunks: DataFrame, k: int = KNOWLEDGE_K,
            mode: str = "keywords") -> DataFrame:

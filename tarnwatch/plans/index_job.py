@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.bounded import stored
 from ..operators.retrieval import drop_duplicate_keys
-from ..sources.tables import save_table
+from ..sources.tables import save_table, snapshot_diff
 
 
 def key_audit(chunks: DataFrame, stage: str) -> DataFrame:
@@ -26,3 +26,50 @@ def build_index(chunks: DataFrame, table: str = "rag_chunks_fixed", path: str |
     save_table(drop_duplicate_keys(delivered, "id", "text"), table, path=path)
     saved = chunks.sparkSession.table(table)
     return key_audit(delivered, "delivered").unionByName(key_audit(saved, "indexed"))
+
+
+BUCKETS = 256
+
+
+def _bucketed(chunks: DataFrame, buckets: int) -> DataFrame:
+    return chunks.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+
+
+def save_buckets(chunks: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Store chunks, one per key, in a folder per bucket of keys."""
+    _bucketed(chunks, buckets).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The stored chunks with their bucket; `like` gives the columns."""
+    return spark.read.schema(_bucketed(like.limit(0), 1).schema).parquet(path)
+
+
+def apply_changes(new: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
+    """Bring the stored chunks to the state of `new` and return the changes made.
+
+    Keys and digests are compared; only buckets with changes are read, built aside and
+    written over. A run that is lost on the way leaves whole buckets, old or new, and the next run
+    finds what is still to be done.
+    """
+    spark = new.sparkSession
+    old = read_buckets(spark, path, new)
+    changes = stored(_bucketed(snapshot_diff(old, new, "id", F.col("text")), buckets), "changes")
+    touched = {r.bucket for r in changes.select("bucket").distinct().collect()}  # at most `buckets` numbers
+    if touched:
+        gone = changes.where("change <> 'insert'").select("id")
+        come = changes.where("change <> 'delete'").select("id")
+        kept = old.where(F.col("bucket").isin(*touched)).join(gone, "id", "left_anti")
+        fresh = _bucketed(new.join(come, "id", "left_semi"), buckets)
+        built = stored(kept.unionByName(fresh), "buckets")
+        (built.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket").parquet(path))
+        left = {r.bucket for r in built.select("bucket").distinct().collect()}
+        for bucket in touched - left:  # buckets that lost their last chunk
+            _delete_folder(spark, f"{path}/bucket={bucket}")
+    return changes.drop("bucket")
+
+
+def _delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, StringType, StructField, StructType
 
 from ..constants import (
     ANOMALY_TYPE, BATCH_FEATURES, CONTAMINATION, MODEL_NAME, SEED,
@@ -16,8 +17,8 @@ from ..operators.detectors import detector_metrics, with_zscore
 from ..operators.forest import (
     contamination_offset, fit_forest, forest_score, with_forest_verdict,
 )
-from ..schemas import ANOMALY_SCORES
-from ..sources.tables import check_schema, drop_table, require_not_null, save_table
+from ..schemas import ANOMALY_SCORES, FOREST_NODES
+from ..sources.tables import check_schema, replace_table, require_not_null, save_table
 
 
 def score_with_forest(features: DataFrame, nodes: DataFrame, columns: list[str],
@@ -47,6 +48,25 @@ def train_model(features: DataFrame, columns: list[str] = BATCH_FEATURES, seed:
     return nodes.withColumn("cutoff", F.lit(cutoff))
 
 
+def save_model(model: DataFrame, folder: str, alias: str, trained_on: str) -> None:
+    """Append a trained model to the store under its alias and the day it was trained on."""
+    (model.withColumns({"alias": F.lit(alias), "trained_on": F.lit(trained_on).cast("date")})
+     .coalesce(1).write.mode("append").partitionBy("alias", "trained_on").parquet(folder))
+
+
+def load_model(spark: SparkSession, folder: str, alias: str, as_of: str | None = None) -> DataFrame:
+    """The alias's model with the latest day, up to `as_of` if that is given."""
+    store = spark.read.schema(StructType([
+        *FOREST_NODES.fields, StructField("cutoff", DoubleType()), StructField("alias", StringType()),
+        StructField("trained_on", DateType())])).parquet(folder).where(F.col("alias") == alias)
+    if as_of is not None:
+        store = store.where(F.col("trained_on") <= F.lit(as_of).cast("date"))
+    last = store.agg(F.max("trained_on")).first()[0]
+    if last is None:
+        raise ValueError(f"no model {alias!r} in {folder}")
+    return store.where(F.col("trained_on") == F.lit(last)).drop("alias", "trained_on")
+
+
 def anomaly_scores(features: DataFrame, columns: list[str] = BATCH_FEATURES,
                    run_id: str | None = None, scored_at: dt.datetime | None = None,
                    model: DataFrame | None = None, seed: int = SEED,
@@ -74,11 +94,13 @@ def anomaly_scores(features: DataFrame, columns: list[str] = BATCH_FEATURES,
 def score_batch(features: DataFrame, table: str = "anomaly_scores",
                 scoring_date: str | None = None, write_mode: str = "overwrite",
                 model_alias: str = "champion", models: dict[str, DataFrame] | None = None,
-                path: str | None = None, **options) -> DataFrame:
+                path: str | None = None, model_store: str | None = None, **options) -> DataFrame:
     """Check the input, score it, write the table and return it.
 
-    `models` maps an alias to a trained model; without one for the alias a forest is fitted
-    to the rows at hand. A `scoring_date` limits the job to that day's incidents.
+    `models` maps an alias to a trained model, or `model_store` is the folder of stored ones, of which
+    the alias's last one is taken that was trained before `scoring_date`; without either a forest
+    is fitted to the rows at hand. A `scoring_date` limits the job to that day's incidents. An old
+    table is replaced once the new one is written.
     """
     if scoring_date is not None:
         start = F.lit(scoring_date).cast("date")
@@ -86,12 +108,15 @@ def score_batch(features: DataFrame, table: str = "anomaly_scores",
             (F.col("timestamp") >= start.cast("timestamp_ntz"))
             & (F.col("timestamp") < F.date_add(start, 1).cast("timestamp_ntz")))
     require_not_null(features, ["resolution_time_mins"])
+    spark = features.sparkSession
     model = (models or {}).get(model_alias)
+    if model is None and model_store:
+        model = load_model(spark, model_store, model_alias, scoring_date)
     scored = anomaly_scores(features, model=model, **options)
-    spark = features.sparkSession
     if write_mode == "overwrite":
-        drop_table(spark, table)
-    save_table(scored, table, write_mode, path=path)
+        replace_table(scored, table, path=path)
+    else:
+        save_table(scored, table, write_mode, path=path)
     return spark.table(table)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,6 +36,27 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite",
     writer.saveAsTable(name)
 
 
+def replace_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), fmt: str = "parquet",
+                  path: str | None = None) -> None:
+    """Save `df` as a new version of the table and only then put it in the place of the old one.
+
+    Readers keep the old table until the new one is written; a write that fails leaves it as it was. With
+    a `path`, every version has a folder of its own under it.
+    """
+    spark = df.sparkSession
+    version = f"{name}__{uuid.uuid4().hex[:12]}"
+    try:
+        save_table(df, version, "errorifexists", partition_by, fmt, f"{path}/{version}" if path else None)
+    except Exception:
+        drop_table(spark, version)
+        raise
+    drop_table(spark, name)
+    old, new = ("`" + n.replace(".", "`.`") + "`" for n in (version, name))
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
 
