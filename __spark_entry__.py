@@ -79,6 +79,11 @@ def _corpus_chunks(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.keyed_chunks(retrieval.chunk_documents(_corpus(spark, d)))
 
 
+def _stored_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """The chunk table that retrieval reads: cut once, then scanned for scores and for texts."""
+    return stored(_corpus_chunks(spark, d), "rag-chunks")
+
+
 def _benchmark_questions(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "benchmark").select(
         F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("question_id"),
@@ -270,6 +275,37 @@ def tracked_runs(spark, d):
     return log.drop("logged_at")
 
 
+def latest_run_metrics(spark, d):
+    """Weekly runs of the z-score detector appended to the log; the last one is looked up."""
+    name = f"run_metrics_{os.urandom(6).hex()}"
+    flagged = stored(_flagged(spark, d).withColumn("week", F.date_trunc("week", "timestamp")), "flagged")
+    weekly = detectors.detector_metrics(flagged, "z_anomaly", by=["week"]).withColumn(
+        "run_id", F.concat(F.lit("week-"), F.date_format("week", "yyyy-MM-dd")))
+    log = _rounded(weekly, 6, "precision", "recall", "f1").select("run_id", F.col("week").alias("logged_at"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")) for c in ("precision", "recall", "f1")])))
+    log = log.select("run_id", F.lit("weekly").alias("parent_run_id"), F.lit("z_score").alias("model"),
+                     F.lit("metric").alias("kind"), "key", "value", F.col("logged_at").cast("timestamp").alias("logged_at"))
+    tracking.append_log(log, name, f"{scratch_dir(spark)}/{name}")
+    return tracking.latest_runs(spark.table(name)).select("run_id", "model", "key", "value")
+
+
+def replaced_table(spark, d):
+    """Counts per service saved, replaced by those of the whole month, listed and queried; a second table is dropped."""
+    run = os.urandom(6).hex()
+    name, other = f"service_counts_{run}", f"service_counts_old_{run}"
+    folder = f"{scratch_dir(spark)}/{name}"
+    rows = _incidents(spark, d)
+    for part in (rows.where("timestamp < '2024-01-10'"), rows):
+        counts = part.groupBy("service_name").agg(F.count("*").alias("incidents"))
+        tables.replace_table(counts, name, path=folder)
+    tables.save_table(spark.table(name), other, path=f"{folder}-old")
+    before = [r.tableName for r in tables.list_tables(spark).collect()]
+    tables.drop_table(spark, other)
+    after = [r.tableName for r in tables.list_tables(spark).collect()]
+    return tables.query_table(spark, name, "incidents > 0", frozenset({name})).withColumns({
+        "listed": F.lit(name in after and other in before), "dropped": F.lit(other not in after)})
+
+
 def null_report(spark, d):
     return tables.null_report(_features(spark, d),
                               ["resolution_time_mins", "lag_30d", "rolling_std_14d",
@@ -529,7 +565,7 @@ def keyword_hits_sets(spark, d):
 
 def keyword_hits_batch(spark, d):
     hits = retrieval.retrieve_by_keywords(
-        _document_chunks(spark, d), _benchmark_questions(spark, d))
+        stored(_document_chunks(spark, d), "rag-chunks"), _benchmark_questions(spark, d))
     return hits.select("question_id", "retrieval_rank", "id", "score")
 
 
@@ -560,7 +596,7 @@ def vector_index_recall(spark, d):
 
 def _sample_hits(spark, d) -> tuple[DataFrame, DataFrame]:
     questions = _sample_questions(spark)
-    return questions, retrieval.retrieve_by_keywords(_corpus_chunks(spark, d), questions)
+    return questions, retrieval.retrieve_by_keywords(_stored_chunks(spark, d), questions)
 
 
 def rerank_length(spark, d):
@@ -574,12 +610,12 @@ def prompts(spark, d):
 
 
 def cited_answers(spark, d):
-    return answers.answer_questions(_sample_questions(spark), _corpus_chunks(spark, d))
+    return answers.answer_questions(_sample_questions(spark), _stored_chunks(spark, d))
 
 
 def cited_answers_batch(spark, d):
     """Benchmark passages as questions, answered from the documents."""
-    return answers.answer_questions(_benchmark_questions(spark, d), _document_chunks(spark, d))
+    return answers.answer_questions(_benchmark_questions(spark, d), stored(_document_chunks(spark, d), "rag-chunks"))
 
 
 # --- Assistant ----------------------------------------------------------------
@@ -596,7 +632,7 @@ def sla_status(spark, d):
 
 
 def knowledge_lookup(spark, d):
-    return assistant.knowledge(corpus.sample_questions(spark), _corpus_chunks(spark, d))
+    return assistant.knowledge(corpus.sample_questions(spark), _stored_chunks(spark, d))
 
 
 def prediction_lookup(spark, d):
@@ -612,7 +648,7 @@ def _assisted(spark, d, mode) -> DataFrame:
                                                 for c in ("precision", "recall", "f1")])
     return assistant.assist(
         _all_questions(spark, d), assistant.sla_status(flagged), prediction, performance,
-        _corpus_chunks(spark, d), mode=mode)
+        _stored_chunks(spark, d), mode=mode)
 
 
 def assistant_context(spark, d):
@@ -647,7 +683,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     features_of_a_day, feature_vectors,
     zscore_flags, zscore_metrics, zscore_metrics_vs_label, contamination_cutoff,
     isolation_forest_scores, forest_verdict_share, detector_comparison, rule_comparison,
-    arm_split_metrics, run_metrics, tracked_runs, null_report, schema_report, score_batch, score_batch_days,
+    arm_split_metrics, run_metrics, tracked_runs, latest_run_metrics, replaced_table, null_report, schema_report, score_batch, score_batch_days,
     saved_model_scores, aliased_model_scores, model_performance,
     alert_fatigue, alert_triggers, numeric_drift, categorical_drift, drift_significance,
     quality_profile, incident_checks,

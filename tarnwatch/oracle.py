@@ -513,6 +513,14 @@ FROM (SELECT unnest(['param', 'metric', 'metric', 'metric']) AS kind,
         unnest(['method', 'precision', 'recall', 'f1']) AS key,
         unnest(['z_score', "precision"::VARCHAR, recall::VARCHAR, f1::VARCHAR]) AS value
       FROM ({_metrics("flagged", "z_anomaly", "sla_breached")}))"""),
+    "latest_run_metrics": _with(FLAGGED + """,
+weekly AS (SELECT *, date_trunc('week', "timestamp")::DATE AS week FROM flagged),
+last_week AS (SELECT * FROM weekly WHERE week = (SELECT max(week) FROM weekly))""", f"""
+SELECT 'week-' || (SELECT max(week) FROM weekly) AS run_id, 'z_score' AS model, unnest(['precision', 'recall', 'f1']) AS key,
+  unnest(["precision"::VARCHAR, recall::VARCHAR, f1::VARCHAR]) AS value
+FROM ({_metrics("last_week", "z_anomaly", "sla_breached")})"""),
+    "replaced_table": _with(INCIDENTS, """
+SELECT service_name, count(*) AS incidents, true AS listed, true AS dropped FROM incidents GROUP BY 1"""),
     "schema_report": f"""
 SELECT t.*, n AS "rows" FROM (VALUES {_schema_rows()}) t("column", declared, actual, status),
   (SELECT count(*) AS n FROM events)""",

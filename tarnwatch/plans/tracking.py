@@ -42,4 +42,15 @@ def track_detectors(features: DataFrame, logged_at: Column, parent: str = "anoma
 
 
 def append_log(log: DataFrame, table: str = "run_metrics", path: str | None = None) -> None:
-    save_table(log, table, "append", path=path)
+    """Append a run's rows to the log, a partition per day of logging."""
+    save_table(log.withColumn("log_date", F.to_date("logged_at")), table, "append", ("log_date",), path=path)
+
+
+def latest_runs(log: DataFrame) -> DataFrame:
+    """The log rows of the last run of each model (tags excluded), by time of logging and then run id.
+
+    Runs are reduced to one row per model first; the rows join on it.
+    """
+    runs = log.where("model <> ''")
+    last = runs.groupBy("model").agg(F.max(F.struct("logged_at", "run_id")).alias("last")).select("model", "last.*")
+    return runs.join(last, ["model", "logged_at", "run_id"], "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tarnwatch import constants as C
 from tarnwatch import schemas
 from tarnwatch.operators.bounded import stored
-from tarnwatch.plans import assistant, feature_job, index_job, scoring_job
+from tarnwatch.plans import assistant, feature_job, index_job, scoring_job, tracking
 from tarnwatch.sources import tables
 from tarnwatch.sources.incidents import incidents_from_events
 
@@ -124,3 +124,17 @@ def test_asked_ranges_and_predictions(spark):
            for r in assistant.asked_predictions(ranges, scores).collect()}
     assert got == {("a", "error"): (2, .5, 2.5), ("a", "click"): (0, 0, None), ("b", "error"): (3, round(1 / 3, 6), 4.0),
                    ("d", "error"): (5, .4, 3.0)}
+
+
+def test_latest_run_of_each_model(spark, tmp_path):
+    rows = [("r1", "p", "m", "metric", "f1", "0.1", "2024-01-01 00:00:00"), ("r2", "p", "m", "metric", "f1", "0.2", "2024-01-02 00:00:00"),
+            ("r3", "p", "m", "metric", "f1", "0.3", "2024-01-02 00:00:00"), ("r1", "p", "n", "param", "k", "v", "2024-01-01 00:00:00"),
+            ("p", None, "", "tag", "domain", "x", "2024-01-03 00:00:00")]
+    log = spark.createDataFrame(rows, schemas.RUN_METRICS.simpleString().replace("struct<", "").replace(">", "").replace(
+        "logged_at:timestamp", "logged_at:string")).withColumn("logged_at", F.to_timestamp("logged_at"))
+    tracking.append_log(log.where("run_id <> 'r3'"), "log_of_runs", str(tmp_path / "log"))
+    tracking.append_log(log.where("run_id = 'r3'"), "log_of_runs", str(tmp_path / "log"))
+    got = tracking.latest_runs(spark.table("log_of_runs")).collect()
+    assert {(r.model, r.run_id, r.value) for r in got} == {("m", "r3", "0.3"), ("n", "r1", "v")}
+    assert spark.table("log_of_runs").count() == 5
+    tables.drop_table(spark, "log_of_runs")
