@@ -279,6 +279,12 @@ def license_rows(docs):
     return licenses.license_scan(docs).collect()
 
 
+def test_very_many_notices_in_a_line_end(spark, documents):
+    notice = licenses.NOTICES["MIT"][0]
+    rows = licenses.license_scan(documents([" ".join([notice] * 5_000), "word " * 100_000, notice])).collect()
+    assert sorted((r.doc_id, r.n_notices, r.families) for r in rows) == [(0, 5_000, "MIT"), (1, 0, ""), (2, 1, "MIT")]
+
+
 def test_license_of_the_table(spark):
     """Held-out accuracy: the notices that stand in the given documents."""
     line = {"This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
