@@ -38,6 +38,8 @@ BLOCK = 1 << 16
 MAGIC = b"BPIDS\x00\x01\x00"
 END_ID = 1
 REMEMBER = 600_000
+#: Text bytes per file: a task that reads more learns fewer words anew.
+FILE_BYTES = 64 << 20
 
 
 # --- The file format -----------------------------------------------------------------
@@ -218,8 +220,9 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, folder: str, end_id:
                 names=["doc_id", "file", "file_size", "nth", "begin", "n_tokens"])
             at += n
 
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-               .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+               .repartitionByRange(max(1, -(-total // FILE_BYTES)), F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text"))
     return ordered.mapInArrow(
         run, "doc_id long, file string, file_size long, nth long, begin long, n_tokens long"
