@@ -8,7 +8,7 @@ import numpy as np
 
 from .constants import SEED
 from .operators.forest import (
-    DIGITS, HALF, PATH_UNIT, PRIME, SAMPLE, STEP, TREES, expected_path,
+    DIGITS, HALF, PATH_UNIT, PRIME, SAMPLE, STEP, TREES,
 )
 
 
@@ -25,8 +25,9 @@ def forest_ctes(source: str, features: list[str], fit_on: str = "true", score_on
     """
     inputs = ", ".join(f"floor(coalesce(CAST({f} AS DOUBLE), 0) * {float(STEP)} + {HALF}) / {float(STEP)}" for f in features)
     limit = math.ceil(math.log2(sample_size))
-    mean = f"2 * (ln(n - 1) + {np.euler_gamma!r}) - 2 * (n - 1)::DOUBLE / n"
-    path = (f"floor((depth + CASE WHEN n > 2 THEN {mean} WHEN n = 2 THEN 1.0 ELSE 0.0 END) * {PATH_UNIT}.0 + 0.5)::BIGINT")
+    mean = (f"CASE WHEN n > 2 THEN 2 * (ln(n - 1) + {np.euler_gamma!r}) - 2 * (n - 1)::DOUBLE / n "
+            "WHEN n = 2 THEN 1.0 ELSE 0.0 END")
+    path = f"floor((depth + {mean}) * {PATH_UNIT}.0 + 0.5)::BIGINT"
     levels = []
     for k in range(limit):
         levels.append(f"""
@@ -35,7 +36,7 @@ forest_range{k} AS MATERIALIZED (
 forest_cut{k} AS MATERIALIZED (
   SELECT tree, node, f, low + (high - low) * ({_number(f"'{seed}|grow|' || tree || '|' || node", 1)} / 268435456.0::DOUBLE) AS cut
   FROM (SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY f) - 1 AS place,
-          count(*) OVER (PARTITION BY tree, node) AS many FROM forest_range{k} WHERE high > low)
+          count(*) OVER (PARTITION BY tree, node) AS many FROM forest_range{k} WHERE high > low AND {k} < (SELECT deepest FROM forest_size))
   WHERE place = {_number(f"'{seed}|grow|' || tree || '|' || node", 0)} % many),
 forest_at{k + 1} AS MATERIALIZED (
   SELECT a.tree, CASE WHEN x <= cut THEN 2 * a.node + 1 ELSE 2 * a.node + 2 END AS node, a.incident_id
@@ -43,7 +44,6 @@ forest_at{k + 1} AS MATERIALIZED (
     cuts = " UNION ALL ".join(f"SELECT * FROM forest_cut{k}" for k in range(limit))
     sizes = " UNION ALL ".join(
         f"SELECT {k} AS depth, tree, node, count(*) AS n FROM forest_at{k} GROUP BY ALL" for k in range(limit + 1))
-    scale = float(expected_path(sample_size)) * PATH_UNIT * trees
     return f"""
 forest_rows AS MATERIALIZED (
   SELECT incident_id, [{inputs}] AS v, {fit_on} AS fitted FROM {source} WHERE ({fit_on}) OR ({score_on})),
@@ -54,6 +54,9 @@ forest_lines AS (
   FROM range({trees}) r(t)),
 forest_keys AS (
   SELECT incident_id, {", ".join(f"{_number(f"'{seed}|' || incident_id", k)} AS h{k + 1}" for k in (0, 1))} FROM forest_rows WHERE fitted),
+forest_size AS MATERIALIZED (
+  SELECT ceil(log2(greatest(n, 2))) AS deepest, coalesce(nullif({mean}, 0), 1) * {PATH_UNIT * trees} AS scale
+  FROM (SELECT least({sample_size}, count(*)) AS n FROM forest_keys)),
 forest_at0 AS MATERIALIZED (
   SELECT tree, 0::BIGINT AS node, incident_id FROM forest_keys, forest_lines
   QUALIFY row_number() OVER (PARTITION BY tree ORDER BY (h1 * a1 + b1) % {PRIME}, (h2 * a2 + b2) % {PRIME}, incident_id) <= {sample_size}),
@@ -67,7 +70,7 @@ forest_walk0 AS (SELECT tree, 0::BIGINT AS node, incident_id FROM forest_rows, f
     w.incident_id FROM forest_walk{k} w LEFT JOIN forest_cut{k} c ON c.tree = w.tree AND c.node = w.node
   LEFT JOIN forest_long l ON l.incident_id = w.incident_id AND l.f = c.f)""" for k in range(limit))},
 forest_raw AS MATERIALIZED (
-  SELECT incident_id, -pow(2.0::DOUBLE, -(sum(path)::BIGINT / {scale!r}::DOUBLE)) AS raw
+  SELECT incident_id, -pow(2.0::DOUBLE, -(sum(path)::BIGINT / (SELECT scale FROM forest_size)::DOUBLE)) AS raw
   FROM forest_walk{limit} JOIN forest_leaves USING (tree, node) GROUP BY 1)"""
 
 
