@@ -95,6 +95,39 @@ def test_cutoffs_are_certified(spark, documents):
     assert kept.columns == docs.columns and kept.count() == 3000
 
 
+def test_every_stratum_is_certified(spark, documents):
+    """200 labelled good texts suffice; copies of one text, however many, do not."""
+    rng = random.Random(6)
+    clean = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60)) for _ in range(600)]
+    junk = [t.replace(" ", " | ") for t in clean[:60]]
+    copies = [clean[0]] * 400
+    texts = clean + junk + copies + [junk[0]] * 5
+    lang = [("a", "b", None)[i % 3] for i in range(660)] + ["c"] * 405
+    labels = spark.createDataFrame(
+        [(i, int(i < 600 or 660 <= i < 1060)) for i in range(len(texts))], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.quality_verdicts(documents(texts, lang=lang), labels).collect()}
+    assert len(got) == len(texts)
+    assert all(got[i].kept == (i < 600) for i in range(660))
+    assert all(got[i].kept for i in range(660, 1065))
+
+
+def test_false_rejections_stay_within_the_risk(spark):
+    """Good and bad overlap: over many draws the rule chosen rejects too many good texts at most rarely."""
+    rng = np.random.default_rng(7)
+    rows, strata = [], 30
+    for s in range(strata):
+        for good, n, mean in ((True, 600, 8), (False, 200, 16)):
+            for step, fold in zip(np.clip(rng.poisson(mean, n), 0, 40), rng.random(n) < .5):
+                rows.append((str(s), good, bool(fold), int(step), 0, 0, 0))
+    holdout = spark.createDataFrame(rows, "stratum string, good boolean, tuning boolean, " + ", ".join(
+        f"{f} int" for f in quality.FEATURES))
+    chosen = quality.choose_cutoffs(holdout)
+    tail = {c: 1 - sum(math.exp(-8) * 8 ** k / math.factorial(k) for k in range(j + 1))
+            for j, c in enumerate(quality.FEATURES["symbols"][2])}
+    risks = [tail[cutoff] for (_, f), cutoff in chosen.items() if f == "symbols"]
+    assert len(risks) >= strata / 2 and max(risks) <= quality.RISK
+
+
 def test_quality_without_rows(spark, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.quality_verdicts(documents([]), labels).count() == 0
