@@ -1,10 +1,13 @@
 """Personal data by weak supervision, in DataFrame operations only.
 
 Candidates are what the strict patterns match (whether or not their checks pass) and what looser
-patterns add: addresses written with "at" and "dot", phone numbers without country code, IPv6. Four
+patterns add: addresses written with "at" and "dot", phone numbers without country code, IPv6; and kinds that have no
+strict pattern: access keys of known formats, values assigned to names such as password or token (the
+value alone is the span), bank account numbers, social security numbers. Four
 labelers vote on each candidate or abstain: the pattern with its checks, number rules (digit
-counts, first digits), a gazetteer (domains, country codes, issuer digits) and words in
-the context. Expectation-maximisation over the counts of vote patterns, of which there are few whatever the
+counts, first digits, mixed characters), a gazetteer (domains, country codes, issuer digits) and words in the
+context. Placeholders and numbers whose check sums fail are no candidates of the added kinds.
+Expectation-maximisation over the counts of vote patterns, of which there are few whatever the
 data, estimates how reliable each labeler is per kind; its beliefs train a logistic classifier
 over the shape of the span and its surroundings, again from counts. Base spans, strict matches whose
 checks pass, always stay; the classifier decides about the rest.
@@ -29,6 +32,8 @@ from ..operators.bounded import stored
 from .shared import row_key
 
 KINDS = ["email", "ip", "card", "phone"]
+#: Kinds that only the method adds.
+ADDED = ["key", "secret", "iban", "ssn"]
 #: An address or number can only begin where a run begins, or right after the match before (\G);
 #: possessive runs are not tried again from within.
 STRICT = {
@@ -42,7 +47,17 @@ LOOSE = {
              r"(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]{1,64})+",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "phone": r"(?<![0-9A-Za-z.+-])\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}(?![0-9A-Za-z-])",
+    "key": r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|gh[opsu]_[A-Za-z0-9]{36,255}+"
+           r"|xox[abprs]-[A-Za-z0-9-]{10,255}+|AIza[0-9A-Za-z_-]{35}|[sr]k_live_[0-9A-Za-z]{16,255}+"
+           r"|eyJ[A-Za-z0-9_-]{8,2000}+\.[A-Za-z0-9_-]{8,2000}+\.[A-Za-z0-9_-]{8,2000}+"
+           r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)",
+    "secret": r"(?i)(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|secret[_-]?key)"
+              r"[\x22']?[\x20\x09]{0,3}[:=][\x20\x09]{0,3}[\x22']?[^\x00-\x20\x22',;<>]{6,255}+",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "ssn": r"(?<![0-9A-Za-z.+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
 }
+#: The part of a secret's match before its value.
+NAME = r"(?i)^[a-z_-]+[\x22']?[\x20\x09]*[:=][\x20\x09]*[\x22']?"
 #: What a text must contain to be searched at all.
 NEEDS = {("email", True): "@", ("phone", True): "+", ("ip", True): ".", ("ip", False): ":"}
 
@@ -50,8 +65,13 @@ DOMAINS = ["com", "org", "net", "edu", "gov", "int", "io", "info", "de", "fr", "
 COUNTRY_CODES = ["1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46",
                  "47", "48", "49", "51", "52", "54", "55", "56", "57", "60", "61", "62", "63", "64", "65", "66", "81",
                  "82", "84", "86", "90", "91", "92", "94", "98"]
+IBAN_COUNTRIES = ["AT", "BE", "BG", "CH", "CY", "CZ", "DE", "DK", "EE", "ES", "FI", "FR", "GB", "GR", "HR", "HU", "IE",
+                  "IS", "IT", "LI", "LT", "LU", "LV", "MT", "NL", "NO", "PL", "PT", "RO", "SE", "SI", "SK", "TR"]
+PLACEHOLDER = r"(?i)example|changeme|placeholder|xxxx|\*\*\*|^your|^(null|none|true|false|password|secret|token)$|[${]"
 FOR = {"email": r"\b(e-?mail|mail|contact|write)\b", "ip": r"\b(ip|address|host|server|login)\b",
-       "card": r"\b(card|visa|mastercard|credit|paid|payment)\b", "phone": r"\b(phone|tel|call|mobile|fax|sms)\b"}
+       "card": r"\b(card|visa|mastercard|credit|paid|payment)\b", "phone": r"\b(phone|tel|call|mobile|fax|sms)\b",
+       "key": r"(key|token|secret|credential|auth|aws)", "secret": r"(password|passwd|pwd|secret|token|key)",
+       "iban": r"\b(iban|account|bank|konto|transfer)\b", "ssn": r"\b(ssn|social|security|taxpayer)\b"}
 AGAINST = r"\b(version|isbn|issn|doi|order|invoice|serial|sku|item|section|figure|token|build)\b"
 BEFORE, AFTER = 40, 20
 LABELERS = ["vote_pattern", "vote_number", "vote_gazetteer", "vote_context"]
@@ -93,7 +113,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     rows = some.select("row_key", F.explode(every).alias("c")).select("row_key", "c.nth", "c.r.*").distinct()
     so_far = Window.partitionBy("row_key", "kind", "strict").orderBy("nth")
     end = F.sum(F.col("gap") + F.length("span")).over(so_far)
-    return rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("span")).drop("nth", "gap")
+    placed = rows.withColumn("end", end)
+    name = F.when(F.col("kind") == "secret", F.regexp_extract("span", NAME, 0)).otherwise("")
+    return (placed.withColumn("name", name).withColumn("before", F.concat("before", "name"))
+            .withColumn("span", F.substr("span", F.length("name") + 1))
+            .withColumn("start", F.col("end") - F.length("span")).drop("nth", "gap", "name"))
 
 
 def digits(span: str | Column) -> Column:
@@ -107,6 +131,16 @@ def luhn(number: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, d: a + d) % 10 == 0
 
 
+def mod_97(account: Column) -> Column:
+    """Whether an account number's letters and digits pass the check sum of its kind."""
+    plain = F.replace(account, F.lit(" "), F.lit(""))
+    moved = F.concat(F.substr(plain, F.lit(5)), F.left(plain, F.lit(4)))
+    values = F.transform(F.split(moved, ""), lambda c: F.when(
+        c.rlike("[0-9]"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55))
+    return F.aggregate(values, F.lit(0), lambda a, v: (
+        a * F.when(v > 9, 100).otherwise(10) + v) % 97) == 1
+
+
 def passes_checks() -> Column:
     """The checks of the contract on a strict match of its kind."""
     parts = F.transform(F.split("span", r"\."), lambda p: F.regexp_replace(p, "^0+(?=[0-9])", ""))
@@ -118,6 +152,15 @@ def passes_checks() -> Column:
             .otherwise(n.between(10, 15)))
 
 
+def possible() -> Column:
+    """False for spans of the added kinds that cannot be real: placeholders, check sums that fail, unused numbers."""
+    return (F.when(F.col("kind").isin("key", "secret"), ~F.col("span").rlike(PLACEHOLDER))
+            .when(F.col("kind") == "iban", mod_97(F.col("span")))
+            .when(F.col("kind") == "ssn", F.col("span").rlike("^(?!000|666|9)...-(?!00)..-(?!0000)")
+                  & ~F.col("span").isin("078-05-1120", "123-45-6789", "219-09-9999"))
+            .otherwise(True))
+
+
 def _vote(yes: Column, no: Column) -> Column:
     """1, 0 or -1 for an abstention."""
     return F.when(yes, 1).when(no, 0).otherwise(-1)
@@ -131,21 +174,26 @@ def with_votes(spans: DataFrame) -> DataFrame:
     domain = F.lower(F.regexp_extract("span", r"([A-Za-z0-9]+)\s*$", 1))
     code = F.col("strict") & reduce(lambda a, b: a | b, [F.startswith(number, F.lit(c)) for c in COUNTRY_CODES])
     first = F.substring(number, 1, 1)
+    mixed = F.col("span").rlike("[A-Za-z]") & F.col("span").rlike("[^A-Za-z]") | F.startswith("span", F.lit("-----BEGIN"))
     gazetteer = (
         F.when(kind == "email", _vote(domain.isin(DOMAINS), domain.rlike("[0-9]") | (F.length(domain) < 2)))
         .when(kind == "ip", _vote(F.lit(False), F.col("span").rlike(r"^(0|127|255)\.")))
         .when(kind == "card", _vote(first.isin("3", "4", "5", "6"), first.isin("0", "1", "7", "8", "9")))
+        .when(kind == "iban", _vote(F.left("span", F.lit(2)).isin(IBAN_COUNTRIES), F.lit(True)))
+        .when(kind.isin("key", "secret", "ssn"), -1)
         .otherwise(_vote(code, F.lit(False))))
     rule = (
         F.when(kind == "email", _vote(F.length("span").between(6, 254), F.length("span") > 254))
         .when(kind == "ip", _vote(F.lit(False), F.col("span").rlike(r"(^|\.)0[0-9]")))
         .when(kind == "card", _vote(n.isin(14, 15, 16, 19), ~n.between(14, 19)))
+        .when(kind.isin("key", "secret"), _vote(mixed, ~mixed & (F.length("span") < 20)))
+        .when(kind.isin("iban", "ssn"), 1)
         .otherwise(_vote(n.between(10, 12), ~n.between(7, 15))))
     near = F.lower(F.col("before"))
     named = reduce(lambda a, b: a | b, [(kind == k) & near.rlike(p) for k, p in FOR.items()])
-    return spans.withColumns({
+    return spans.where(possible()).withColumns({
         "base": base,
-        "vote_pattern": F.when(F.col("strict"), base.cast("int")).otherwise(-1),
+        "vote_pattern": F.when(F.col("strict"), base.cast("int")).when(kind == "key", 1).otherwise(-1),
         "vote_number": rule, "vote_gazetteer": gazetteer,
         "vote_context": _vote(named, near.rlike(AGAINST)),
         "f_strict": F.col("strict").cast("int"), "f_passes": base.cast("int"),
@@ -210,7 +258,8 @@ def train_classifier(rows: list[tuple[str, tuple, float, int]], steps: int = 400
 
 def fit(voted: DataFrame) -> dict[str, list[float]]:
     """Train on all candidates; the driver sees one row per kind, vote pattern and feature pattern."""
-    rows = voted.groupBy("kind", *LABELERS, *FEATURES).agg(F.count("*").alias("n")).collect()
+    # In order, so that sums of the same counts are the same.
+    rows = sorted(voted.groupBy("kind", *LABELERS, *FEATURES).agg(F.count("*").alias("n")).collect())
     counts: dict[tuple, int] = {}
     for r in rows:
         votes = tuple(r[v] for v in LABELERS)
@@ -245,9 +294,12 @@ def personal_spans(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
 
 
 def find_personal_data(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
-    """One row per document: counts of base spans, the digest of them, and all spans as text."""
+    """One row per document: counts of base spans, the digest of them, and all spans as text.
+
+    `n_added` counts the spans that the classifier adds, of any kind; `found` says whether there is a span.
+    """
     spans = personal_spans(docs, accept)
-    order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    order = F.array_position(F.array(*map(F.lit, KINDS + ADDED)), F.col("kind"))
     place = F.concat_ws(":", "kind", "start", "end")
     entry = F.struct(F.col("start"), order.alias("nth"), F.col("end"), place.alias("place"))
 
@@ -256,10 +308,12 @@ def find_personal_data(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
 
     per_row = spans.groupBy("row_key").agg(
         *[F.count(F.when(F.col("base") & (F.col("kind") == k), 1)).alias(f"n_{k}") for k in KINDS],
+        F.count(F.when(~F.col("base"), 1)).alias("n_added"),
         joined(F.collect_list(F.when(F.col("base"), entry))).alias("base_spans"),
         joined(F.collect_list(entry)).alias("all_spans"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"))
     return rows.join(per_row, "row_key", "left").select(
-        "doc_id", *[F.coalesce(f"n_{k}", F.lit(0)).alias(f"n_{k}") for k in KINDS],
+        "doc_id", *[F.coalesce(f"n_{k}", F.lit(0)).alias(f"n_{k}") for k in [*KINDS, "added"]],
+        F.col("all_spans").isNotNull().alias("found"),
         F.sha2(F.coalesce("base_spans", F.lit("")), 256).alias("base_sha256"),
         F.coalesce("all_spans", F.lit("")).alias("spans"))
