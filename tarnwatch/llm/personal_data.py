@@ -171,7 +171,7 @@ def with_votes(spans: DataFrame) -> DataFrame:
     kind, number = F.col("kind"), digits("span")
     n = F.length(number)
     base = F.col("strict") & passes_checks()
-    domain = F.lower(F.regexp_extract("span", r"([A-Za-z0-9]+)\s*$", 1))
+    domain = F.lower(F.regexp_extract("span", r"(?<![A-Za-z0-9])([A-Za-z0-9]++)\s*$", 1))
     code = F.col("strict") & reduce(lambda a, b: a | b, [F.startswith(number, F.lit(c)) for c in COUNTRY_CODES])
     first = F.substring(number, 1, 1)
     mixed = F.col("span").rlike("[A-Za-z]") & F.col("span").rlike("[^A-Za-z]") | F.startswith("span", F.lit("-----BEGIN"))
