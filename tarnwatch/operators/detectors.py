@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from ..constants import TRAFFIC_PERCENT, Z_THRESHOLD
 from ..functions.columns import flag_sum, guarded_ratio
+from .bounded import join_group_rows
 
 
 def with_zscore(df: DataFrame, key: str = "service_name", value: str = "resolution_time_mins",
                 threshold: float = Z_THRESHOLD) -> DataFrame:
     """Group z-score (population deviation) and its 0/1 flag.
 
-    The statistics are a partial aggregate joined back, so a hot group is not gathered
-    in one task; adaptive execution broadcasts them when they prove small. A constant group has no z-score and flag 0.
+    The statistics are a partial aggregate joined back, by broadcast unless there are very many groups, so a
+    hot group is not gathered in one task. A constant group has no z-score and flag 0.
     """
     stats = df.groupBy(key).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_std"))
     z = F.try_divide(F.col(value) - F.col("_mean"), F.col("_std"))
     return (
-        df.join(stats, key, "left")
+        join_group_rows(df, stats, key)
         .select(*df.columns, z.alias("z_score"))
         .withColumn("z_anomaly",
                     F.coalesce((F.abs("z_score") > threshold).cast("int"), F.lit(0)))

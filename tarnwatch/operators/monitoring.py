@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from ..constants import ALERT_WINDOW_DAYS
 from ..functions.columns import flag_sum, guarded_ratio
+from .bounded import join_group_rows
 
 
 def alert_fatigue(df: DataFrame, as_of: str | dt.date, days: int = ALERT_WINDOW_DAYS,
@@ -136,6 +137,6 @@ def service_totals(df: DataFrame) -> DataFrame:
 
 def with_service_total(df: DataFrame) -> DataFrame:
     """Each row with the summed resolution time of its service; the key comes first."""
-    joined = df.join(service_totals(df), "service_name", "left")
+    joined = join_group_rows(df, service_totals(df), "service_name")
     rest = [c for c in df.columns if c != "service_name"]
     return joined.select("service_name", *rest, "total_resolution_time")

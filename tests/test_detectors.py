@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tarnwatch import constants as C
 from tarnwatch import schemas
-from tarnwatch.operators import detectors, forest
+from tarnwatch.operators import bounded, detectors, forest, monitoring
 from tarnwatch.operators.bounded import stored
 from tarnwatch.plans import scoring_job
 from tarnwatch.plans.feature_job import feature_table
@@ -43,6 +43,35 @@ def test_zscore_uses_population_deviation(spark):
         assert got[v] == pytest.approx((v - np.mean(values)) / np.std(values))
 
 
+def test_few_large_groups_are_not_shuffled(spark, tmp_path):
+    """Stored rows under a low broadcast threshold, as large tables are: the rows stay in their tasks."""
+    path = str(tmp_path / "rows")
+    spark.range(4000).select(
+        F.when(F.col("id") % 40 > 0, F.concat(F.lit("s"), F.col("id") % 2)).alias("service_name"),
+        F.concat(F.lit("INC_"), "id").alias("incident_id"),
+        (F.col("id") % 7).cast("double").alias("resolution_time_mins")).write.parquet(path)
+    df = spark.read.parquet(path)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for joined in (detectors.with_zscore(df), monitoring.with_service_total(df)):
+            rows = joined.collect()
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+            assert len(rows) == 4000 and sum(r.service_name is None for r in rows) == 100
+            assert all((r[-1] in (None, 0)) == (r.service_name is None) for r in rows if "total_resolution_time" in joined.columns)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_many_groups_join_by_shuffle(spark, monkeypatch):
+    rows = [(f"s{i % 30}", float(i)) for i in range(120)] + [(None, 1.0)]
+    df = spark.createDataFrame(rows, "service_name string, resolution_time_mins double")
+    few = sorted(map(str, detectors.with_zscore(df).collect()))
+    monkeypatch.setattr(bounded, "SMALL_ROWS", 10)
+    assert sorted(map(str, detectors.with_zscore(df).collect())) == few
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([(1, True)] * 3 + [(1, False)] + [(0, True)] * 2 + [(0, False)] * 4,
                                "p int, t boolean")
