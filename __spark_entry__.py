@@ -76,7 +76,7 @@ def _document_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _corpus_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.keyed_chunks(retrieval.chunk_documents(_corpus(spark, d)))
+    return retrieval.keyed_chunks(retrieval.chunk_documents(_corpus(spark, d), dealt=True))
 
 
 def _stored_chunks(spark: SparkSession, d: str) -> DataFrame:
@@ -513,7 +513,7 @@ def chunk_duplicates(spark, d):
 
 
 def chunks_indexed(spark, d):
-    df = retrieval.drop_duplicate_keys(_delivered_twice(spark, d), "id", "text")
+    df = retrieval.drop_duplicate_keys(_delivered_twice(spark, d), "id", "text", retrieval.derived_columns())
     return df.select("id", "doc_id", "chunk_id", "doc_type", "text", "text_clean")
 
 
@@ -532,7 +532,7 @@ def _new_delivery(spark, d) -> DataFrame:
         "text", F.when(F.col("source") == "src1", F.translate("text", ".", ";")).otherwise(F.col("text")))
     new = corpus.assemble(corpus.from_documents(edited),
                           corpus.from_pages(_table(spark, d, "pages")))
-    return retrieval.keyed_chunks(retrieval.chunk_documents(new))
+    return retrieval.keyed_chunks(retrieval.chunk_documents(new, dealt=True))
 
 
 def chunk_snapshot_diff(spark, d):

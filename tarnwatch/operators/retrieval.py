@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..constants import RETRIEVE_K
 from ..functions.text import chunk_key, clean_text, explode_chunks, keyword_score
-from .bounded import bounded_rows, read_folder, spread, stored, stored_by
+from .bounded import bounded_rows, read_folder, spread, stored, stored_by, with_derived
 from .ranking import top_k
 
 # Up to this many questions and keywords are written into the scan's expressions.
@@ -33,15 +33,24 @@ SLICE_ROWS = 8_192
 
 # --- Chunk tables -------------------------------------------------------------
 
-def chunk_documents(docs: DataFrame, **size) -> DataFrame:
-    """Chunks of every document with its type: doc_id, chunk_id, text, doc_type."""
-    docs = spread(docs.select("doc_id", "doc_type", "content"), "doc_id")
+def chunk_documents(docs: DataFrame, dealt: bool = False, **size) -> DataFrame:
+    """Chunks of every document with its type: doc_id, chunk_id, text, doc_type.
+
+    The sources of an assembled corpus are `dealt` already; a second shuffle of the texts would change nothing.
+    """
+    docs = docs.select("doc_id", "doc_type", "content")
+    docs = docs if dealt else spread(docs, "doc_id")
     chunks = explode_chunks(docs, "content", keep=("doc_id", "doc_type"), **size)
     return chunks.select("doc_id", "chunk_id", "text", "doc_type")
 
 
+def derived_columns() -> dict[str, Column]:
+    """Columns of keyed chunks that follow from their text: as long as the text, and cheap to compute."""
+    return {"text_clean": clean_text("text")}
+
+
 def keyed_chunks(chunks: DataFrame) -> DataFrame:
-    return chunks.withColumns({"text_clean": clean_text("text"), "id": chunk_key()})
+    return chunks.withColumns({**derived_columns(), "id": chunk_key()})
 
 
 def duplicate_keys(df: DataFrame, key: str = "id") -> DataFrame:
@@ -49,15 +58,16 @@ def duplicate_keys(df: DataFrame, key: str = "id") -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("count")).where(F.col("count") > 1)
 
 
-def drop_duplicate_keys(df: DataFrame, key: str, prefer: str) -> DataFrame:
+def drop_duplicate_keys(df: DataFrame, key: str, prefer: str, derived: dict[str, Column] | None = None) -> DataFrame:
     """One row per key, the least by `prefer` and then by the other columns.
 
     The minimum is taken in each task first, so a key with very many copies sends one
-    row per task.
+    row per task. Columns in `derived` follow from the others: they are neither sorted nor
+    shuffled, but computed for the rows that are kept.
     """
-    others = [prefer] + [c for c in df.columns if c not in (key, prefer)]
+    others = [prefer] + [c for c in df.columns if c not in (key, prefer, *(derived or {}))]
     least = df.groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
-    return least.select(key, "_row.*").select(*df.columns)
+    return with_derived(least.select(key, "_row.*"), df.columns, derived).select(*df.columns)
 
 
 # --- Keyword retrieval --------------------------------------------------------

@@ -82,6 +82,43 @@ def test_hot_key_of_copies_is_reduced_in_each_task(spark):
     assert retrieval.duplicate_keys(kept).count() == 0
 
 
+def test_derived_columns_are_not_sorted_or_shuffled(spark):
+    df = retrieval.keyed_chunks(spark.range(60).select(
+        F.lit("d").alias("doc_id"), (F.col("id") % 20).alias("chunk_id"),
+        F.concat(F.lit(" T"), F.col("id") % 7).alias("text"), (F.col("id") % 3).cast("string").alias("doc_type")))
+    plain = retrieval.drop_duplicate_keys(df, "id", "text")
+    lean = retrieval.drop_duplicate_keys(df, "id", "text", retrieval.derived_columns())
+    plan = lean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lower(") == 1 and plan.index("lower(") < plan.index("SortAggregate")
+    assert lean.columns == plain.columns and sorted(lean.collect()) == sorted(plain.collect())
+
+
+def test_large_tables_are_dealt_by_size(spark, tmp_path):
+    """The number of tasks follows the size: it is not fixed by the cores."""
+    spark.range(20_000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("content"),
+                               F.lit("t").alias("doc_type")).coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    names = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        parts = retrieval.chunk_documents(docs).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert parts > spark.sparkContext.defaultParallelism
+
+
+def test_an_assembled_corpus_is_dealt_once(spark):
+    d = "/root/testdata/sf0.001"
+    docs = corpus.assemble(corpus.from_documents(spark.read.parquet(f"{d}/documents.parquet")),
+                           corpus.from_pages(spark.read.parquet(f"{d}/pages.parquet")))
+    plan = retrieval.chunk_documents(docs, dealt=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 2
+
+
 def test_corpus_has_the_declared_columns_and_metadata(spark):
     d = "/root/testdata/sf0.001"
     docs = corpus.assemble(
