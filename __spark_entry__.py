@@ -521,7 +521,7 @@ def index_job(spark, d):
     """The chunk table as a job saves it: keys audited before and after."""
     run = os.urandom(6).hex()
     return indexing.build_index(_delivered_twice(spark, d), f"rag_chunks_fixed_{run}",
-                                f"{scratch_dir(spark)}/rag-chunks-{run}")
+                                f"{scratch_dir(spark)}/rag-chunks-{run}", retrieval.derived_columns())
 
 
 def _new_delivery(spark, d) -> DataFrame:

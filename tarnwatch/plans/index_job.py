@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.bounded import stored
@@ -17,13 +17,15 @@ def key_audit(chunks: DataFrame, stage: str) -> DataFrame:
         F.count_if(F.col("n") > 1).alias("duplicate_keys"))
 
 
-def build_index(chunks: DataFrame, table: str = "rag_chunks_fixed", path: str | None = None) -> DataFrame:
+def build_index(chunks: DataFrame, table: str = "rag_chunks_fixed", path: str | None = None,
+                derived: dict[str, Column] | None = None) -> DataFrame:
     """Save one chunk per key and return the audit before and after.
 
-    The texts are cut once: the audit and the table read a written copy of the chunks.
+    The texts are cut once: the audit and the table read a written copy of the chunks. Columns in `derived`
+    follow from the others; they are computed for the saved table only.
     """
-    delivered = stored(chunks, "chunks")
-    save_table(drop_duplicate_keys(delivered, "id", "text"), table, path=path)
+    delivered = stored(chunks, "chunks", derived, "zstd")
+    save_table(drop_duplicate_keys(delivered, "id", "text", derived), table, path=path)
     saved = chunks.sparkSession.table(table)
     return key_audit(delivered, "delivered").unionByName(key_audit(saved, "indexed"))
 

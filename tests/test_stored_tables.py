@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tarnwatch import constants as C
 from tarnwatch import schemas
+from tarnwatch.operators import retrieval
 from tarnwatch.operators.bounded import stored
 from tarnwatch.plans import assistant, feature_job, index_job, scoring_job, tracking
 from tarnwatch.sources import tables
@@ -108,6 +109,27 @@ def test_untouched_buckets_stay(spark, tmp_path):
     assert len({f.split("bucket=")[1].split("/")[0] for f in before - after}) == 1
 
 
+def test_index_copies_leave_out_what_follows_from_the_text(spark, monkeypatch):
+    df = spark.createDataFrame([("d", 0, " One"), ("d", 0, "Two"), ("d", 1, "Three ")], "doc_id string, chunk_id long, text string")
+    df = retrieval.keyed_chunks(df.withColumn("doc_type", F.lit("t")))
+    copies = []
+
+    def spy(df, name, *args):
+        out = stored(df, name, *args)
+        copies.append(spark.read.parquet(out.inputFiles()[0].rsplit("/", 1)[0]).columns)
+        return out
+    monkeypatch.setattr(index_job, "stored", spy)
+    rows = []
+    for name, derived in (("index_plain", None), ("index_lean", retrieval.derived_columns())):
+        audit = index_job.build_index(df, name, derived=derived)
+        assert [tuple(r) for r in audit.orderBy("stage").collect()] == [("delivered", 3, 1), ("indexed", 2, 0)]
+        assert spark.table(name).columns == df.columns
+        rows.append(sorted(map(tuple, spark.table(name).collect())))
+        tables.drop_table(spark, name)
+    assert rows[0] == rows[1] and len(rows[0]) == 2
+    assert ["text_clean" in c for c in copies] == [True, False]
+
+
 def test_asked_ranges_and_predictions(spark):
     asked = spark.createDataFrame([
         ("a", "Forecast ERROR and click between 2024-01-02 and 2024-01-03, please"), ("b", "predict error on 2024-01-03"),
