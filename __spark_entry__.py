@@ -543,10 +543,10 @@ def chunk_snapshot_diff(spark, d):
 def updated_chunks(spark, d):
     """The stored chunk table after the new delivery's changes were applied to it, by buckets of keys."""
     folder = f"{scratch_dir(spark)}/chunk-table-{os.urandom(6).hex()}"
-    indexing.save_buckets(_document_chunks(spark, d), folder)
-    new = stored(_new_delivery(spark, d), "delivery")
-    indexing.apply_changes(new, folder)
-    return indexing.read_buckets(spark, folder, new).select("id", "doc_type", F.md5("text").alias("digest"))
+    indexing.save_buckets(_document_chunks(spark, d), folder, derived=retrieval.derived_columns())
+    new = stored(_new_delivery(spark, d), "delivery", retrieval.derived_columns(), "zstd")
+    indexing.apply_changes(new, folder, derived=retrieval.derived_columns())
+    return indexing.read_buckets(spark, folder, new, retrieval.derived_columns()).select("id", "doc_type", F.md5("text").alias("digest"))
 
 
 def keyword_hits(spark, d):

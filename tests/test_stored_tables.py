@@ -109,6 +109,53 @@ def test_untouched_buckets_stay(spark, tmp_path):
     assert len({f.split("bucket=")[1].split("/")[0] for f in before - after}) == 1
 
 
+def test_derived_columns_are_computed_when_buckets_are_read(spark, tmp_path, monkeypatch):
+    """Nothing as long as the text is written twice, also not by the run that applies changes."""
+    def chunks(texts):
+        df = spark.createDataFrame([(f"d_{i}", t) for i, t in texts.items()], "id string, text string")
+        return df.withColumns(retrieval.derived_columns())
+    path = str(tmp_path / "chunks")
+    first, second = {i: f" Text {i}" for i in range(40)}, {i: f" Text {i}" if i % 3 else f"NEW {i}" for i in range(10, 50)}
+    index_job.save_buckets(chunks(first), path, 4, retrieval.derived_columns())
+    for files in (100, 1):  # chunks that stay are copied where they lie, or gathered anew
+        monkeypatch.setattr(index_job, "BUCKET_FILES", files)
+        for state in (second, first):
+            index_job.apply_changes(chunks(state), path, 4, retrieval.derived_columns())
+            assert "text_clean" not in spark.read.parquet(path).columns
+            found = index_job.read_buckets(spark, path, chunks(state), retrieval.derived_columns())
+            assert found.columns == ["id", "text", "text_clean", "bucket"]
+            assert {r.id: (r.text, r.text_clean) for r in found.collect()} == {
+                f"d_{i}": (t, t.strip(" ").lower()) for i, t in state.items()}
+
+
+def test_texts_of_a_change_are_not_joined(spark, tmp_path, monkeypatch):
+    """Chunks meet their changes in the bucket they lie in: the written plan has no join, and one shuffle of texts."""
+    def chunks(n):
+        return spark.range(n).select(F.concat(F.lit("d_"), "id").alias("id"), F.concat(F.lit("text "), F.col("id") % 7).alias("text"))
+    plans = []
+    write = index_job._write_buckets
+
+    def spy(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, *args)
+    monkeypatch.setattr(index_job, "_write_buckets", spy)
+    path = str(tmp_path / "chunks")
+    index_job.save_buckets(chunks(50), path, 4)
+    index_job.apply_changes(chunks(70), path, 4)
+    assert "Join" not in plans[-1] and plans[-1].count("Exchange ") == 1
+
+
+def test_repeated_and_missing_keys_of_changed_chunks(spark, tmp_path):
+    """A changed key takes all its new copies; an equal one and a missing one stay as they are stored."""
+    path = str(tmp_path / "chunks")
+    schema = "id string, text string"
+    index_job.save_buckets(spark.createDataFrame([("a", "x"), ("a", "x"), (None, "n"), ("b", "1"), ("c", "0")], schema), path, 2)
+    new = spark.createDataFrame([("a", "x"), (None, "m"), ("b", "2"), ("b", "3")], schema)
+    index_job.apply_changes(new, path, 2)
+    found = index_job.read_buckets(spark, path, new).select("id", "text").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, [("a", "x"), ("a", "x"), (None, "n"), ("b", "2"), ("b", "3")]))
+
+
 def test_index_copies_leave_out_what_follows_from_the_text(spark, monkeypatch):
     df = spark.createDataFrame([("d", 0, " One"), ("d", 0, "Two"), ("d", 1, "Three ")], "doc_id string, chunk_id long, text string")
     df = retrieval.keyed_chunks(df.withColumn("doc_type", F.lit("t")))
