@@ -12,6 +12,7 @@ plane, so any chunk is read alone.
 
 Encoding: a tokenizer that lowers letters and cuts at white space gives the ids of a text as those of
 its words, so distinct words are encoded once per task and remembered (tests compare with whole texts).
+Arrow splits some MB of text at a time and finds their distinct words.
 
 Defined cases: null and empty texts have the end id only; a null doc_id comes first; rows with the
 same id follow each other in the order of their texts; ids beyond 16 bits widen their chunk.
@@ -23,10 +24,12 @@ import json
 import re
 import struct
 import zlib
-from itertools import chain, islice
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +43,8 @@ END_ID = 1
 REMEMBER = 600_000
 #: Text bytes per file: a task that reads more learns fewer words anew.
 FILE_BYTES = 64 << 20
+#: Text bytes that are split and numbered together.
+SLICE_BYTES = 8 << 20
 
 
 # --- The file format -----------------------------------------------------------------
@@ -129,60 +134,97 @@ class PlaneReader:
 # --- Encoding --------------------------------------------------------------------------
 
 #: A comma or full stop that ends a word is a token by itself, as if a space stood before it.
-CLOSING = re.compile(rb"(?<=[a-z0-9])[.,](?=[\x20\x09-\x0D]|$)")
+CLOSING = r"([a-z0-9À-ÖØ-öø-ÿ])([.,])([\x20\x09-\x0D]|$)"
+#: Words of these letters are never cut before the tokenizer merges: one closing token each.
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
-def list_words(text: str) -> list[bytes]:
-    """Words that have the same ids as in the text: A-Z in lower case, closing marks apart.
+def split_words(texts: pa.Array) -> pa.Array:
+    """Per text a list of words that have the same ids as in the text: A-Z in lower case, closing marks apart.
 
     The tokenizer lowers all letters, but looks for its special tokens first; texts with anything
-    like one keep their letters.
+    like one keep their letters. Arrow gives empty words at the ends of a text; they have no ids.
     """
-    raw = text.encode()
-    return (raw if b"<|" in raw else CLOSING.sub(rb" \g<0>", raw.lower())).split()
+    plain = pc.replace_substring_regex(pc.ascii_lower(texts), CLOSING, r"\1 \2\3")
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
+
+
+def text_slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Neighbouring texts, about SLICE_BYTES together."""
+    ahead = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ahead // SLICE_BYTES)) + 1).tolist(), len(texts)]
+    for start, end in zip(cuts, cuts[1:]):
+        yield texts.slice(start, end - start)
 
 
 class WordEncoder:
     """Ids of texts from the ids of their words, each text closed by an end id.
 
-    Words are numbered when first seen; the ids of all numbers lie one after the other in one array,
-    so a batch of texts is one gather. Number 0 is the end of a text.
+    Words are numbered when first seen, each distinct word of a call once; their ids lie in one
+    array, so the texts of a call are one gather. Number 0 is the end of a text.
     """
 
     def __init__(self, tokenizer_json: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
         self._tokenizer, self._end_id = Tokenizer.from_str(tokenizer_json), end_id
+        suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self._tokenizer.get_vocab()
+        self._closing = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self._closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self._start_over()
 
     def _start_over(self) -> None:
-        self._numbers = Numbering({b"": 0})
-        self._ids, self._starts = np.array([self._end_id], np.uint32), np.array([0, 1], np.int64)
+        self._numbers = Numbering({None: 0, "": 1})
+        self._ids = np.array([self._end_id], np.uint32)
+        self._starts, self._sizes = np.array([0, 1], np.int64), np.array([1, 0], np.int64)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids of each text)."""
         if len(self._numbers) > REMEMBER:
             self._start_over()
-        split = [(list_words(t) if t else []) + [b""] for t in texts]
-        sizes = np.array(list(map(len, split)), np.int64)
-        numbers = np.fromiter(map(self._numbers.__getitem__, chain.from_iterable(split)), np.int64, sizes.sum())
+        split = split_words(pc.fill_null(texts, ""))
+        words = split.flatten().dictionary_encode()
+        known = np.fromiter(map(self._numbers.__getitem__, words.dictionary.to_pylist()), np.int64,
+                            len(words.dictionary))
         self._learn()
-        first = self._starts[numbers]
-        many = self._starts[numbers + 1] - first
-        ids = self._ids[np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())]
-        return ids, np.add.reduceat(many, np.cumsum(sizes) - sizes)
+        after = np.cumsum(pc.list_value_length(split).to_numpy(), dtype=np.int64)
+        numbers = np.insert(known[words.indices.to_numpy()], after, 0)
+        many = self._sizes[numbers]
+        total = np.cumsum(many)
+        ids = self._ids[np.repeat(self._starts[numbers] - (total - many), many) + np.arange(many.sum())]
+        return ids, np.diff(total[after + np.arange(len(after))], prepend=0)
 
     def _learn(self) -> None:
-        """Encode new words, some as one text; a token belongs to the word in which it begins."""
-        new = [w.decode() for w in islice(self._numbers, len(self._starts) - 1, None)]
-        ids, starts = [self._ids], [self._starts]
-        for at in range(0, len(new), 500):
-            words = new[at:at + 500]
-            found = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
-            after = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-            begins = np.array([o[0] for o in found.offsets], np.int64)
+        """Encode new words, words of letters only apart from the others."""
+        first = len(self._starts)
+        new = list(islice(self._numbers, first, None))
+        letters = np.fromiter((LETTERS.fullmatch(w) is not None for w in new), bool, len(new))
+        self._starts, self._sizes = (np.concatenate([a, np.zeros(len(new), np.int64)])
+                                     for a in (self._starts, self._sizes))
+        for whole in (True, False):
+            of = np.flatnonzero(letters == whole)
+            ids, sizes = self._encode_words([new[i] for i in of.tolist()], whole)
+            self._starts[first + of] = len(self._ids) + np.cumsum(sizes) - sizes
+            self._sizes[first + of] = sizes
+            self._ids = np.concatenate([self._ids, ids])
+
+    def _encode_words(self, words: list[str], whole: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, ids of each word), many words encoded as one text.
+
+        A `whole` word ends with its only closing token. A token of another one belongs to the word in
+        which it begins; so it is found for all words if a closing token is missing.
+        """
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for at in range(0, len(words), 500):
+            some = words[at:at + 500]
+            found = self._tokenizer.encode(" ".join(some), add_special_tokens=False)
             ids.append(np.array(found.ids, np.uint32))
-            starts.append(starts[-1][-1] + np.searchsorted(begins, after))
-        self._ids, self._starts = np.concatenate(ids), np.concatenate(starts)
+            ends = np.flatnonzero(self._closing[ids[-1]]) + 1 if whole else ()
+            if len(ends) != len(some):
+                after = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)) + 1)
+                ends = np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), after)
+            sizes.append(np.diff(ends, prepend=0))
+        return np.concatenate(ids), np.concatenate(sizes)
 
 
 # --- The operator ------------------------------------------------------------------------
@@ -199,9 +241,9 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, folder: str, end_id:
         writer, doc_ids, counts = None, [], []
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
-            for at in range(0, len(ids), 256):
+            for some in text_slices(texts):
                 writer = writer or PlaneWriter(folder, block)
-                found, sizes = encoder.encode(texts[at:at + 256].to_pylist())
+                found, sizes = encoder.encode(some)
                 writer.add(found)
                 counts.extend(sizes.tolist())
             doc_ids.append(ids)

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -342,6 +343,47 @@ def test_token_files(spark, documents, block):
     assert token_files.encode_and_read_back(documents([]), tokenizer_path()).count() == 0
 
 
+class CountsOffsets:
+    """A tokenizer that counts the texts whose offsets are asked for."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.asked = tokenizer, 0
+
+    def encode(self, text, **options):
+        found, counter = self.tokenizer.encode(text, **options), self
+
+        class Found:
+            ids = found.ids
+
+            @property
+            def offsets(self):
+                counter.asked += 1
+                return found.offsets
+        return Found()
+
+
+@pytest.mark.parametrize("limits", [{}, {"SLICE_BYTES": 40, "REMEMBER": 20}])
+def test_new_words_are_encoded_without_offsets(monkeypatch, limits):
+    from tokenizers import Tokenizer
+    for name, value in limits.items():
+        monkeypatch.setattr(token_files, name, value)
+    encoder = token_files.WordEncoder(open(tokenizer_path(), encoding="utf-8").read())
+    encoder._tokenizer = counts = CountsOffsets(encoder._tokenizer)
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdeéßÖñ", k=rng.randrange(1, 9))) for _ in range(3000)]
+    plain = [" ".join(words[at:at + 100]) for at in range(0, 3000, 100)]
+    mixed = [None, "", " ", "\n Été, là. Öl.,\tx., 1,000. ", "e\u0301. I\u0307 \u0130b. a\u00a0b \u00a0 don't. A\x00B, <|endoftext|> A,",
+             "a@b.c 12'3 \u4e16\u754c, \u00d7. \u0391\u03a3. <|endoftext|>"]
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    for texts, asks in ((plain, False), (plain + mixed, True)):
+        got = []
+        for some in token_files.text_slices(pa.array(texts, pa.string())):
+            ids, sizes = encoder.encode(some)
+            got.extend(part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1]))
+        assert got == [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+        assert (counts.asked > 0) == asks
+
+
 # --- the pipeline ------------------------------------------------------------------------
 
 def test_pipeline(spark):
