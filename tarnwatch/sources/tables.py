@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,18 +25,31 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite",
     """Save as a catalog table, by default replacing the old one and its schema.
 
     Rows of a partitioned table are gathered by partition value with a rebalance: Spark
-    splits a hot value over many tasks and joins small ones, by size.
+    splits a hot value over many tasks and joins small ones, by size. Rows appended to a table
+    that `replace_table` put under `path` join its present version.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path:
+    if path and not (mode == "append" and _has_version_under(df.sparkSession, name, path)):
         writer = writer.option("path", path)
     writer.saveAsTable(name)
 
 
+def _has_version_under(spark: SparkSession, name: str, path: str) -> bool:
+    """Does the table lie in a version folder that `replace_table` made under `path`?"""
+    if not spark.catalog.tableExists(name):
+        return False
+    told = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name}).collect()
+    location = next((r.data_type for r in reversed(told) if r.col_name == "Location"), "")
+    location, wanted = (re.sub(r"^file:/*(?=/)", "", place).rstrip("/") for place in (location, path))
+    if "://" not in wanted:
+        location = re.sub(r"^[\w+.-]+://[^/]*", "", location)
+    return re.fullmatch(re.escape(f"{wanted}/{name}__") + "[0-9a-f]{12}", location) is not None
+
+
 def replace_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), fmt: str = "parquet",
                   path: str | None = None) -> None:
     """Save `df` as a new version of the table and only then put it in the place of the old one.

@@ -31,6 +31,22 @@ def test_a_failed_write_keeps_the_old_table(spark, tmp_path):
         tables.drop_table(spark, "swapped")
 
 
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_appended_rows_join_a_replaced_table(spark, tmp_path, scheme):
+    path, name = f"{scheme}{tmp_path}/t", f"appended_{len(scheme)}"
+    for _ in range(2):
+        tables.replace_table(spark.range(3), name, path=path)
+        tables.save_table(spark.range(3, 5), name, "append", path=f"{path}/")
+        tables.save_table(spark.range(5, 6), name, "append", path=path)
+        assert sorted(r.id for r in spark.table(name).collect()) == [0, 1, 2, 3, 4, 5]
+    with pytest.raises(Exception, match="location"):
+        tables.save_table(spark.range(1), name, "append", path=f"{path}-other")
+    assert spark.table(name).count() == 6
+    for _ in range(2):
+        tables.save_table(spark.range(2), f"{name}_first", "append", path=f"{path}-first")
+    assert spark.table(f"{name}_first").count() == 4
+
+
 def test_a_table_may_replace_itself(spark):
     tables.replace_table(spark.range(4), "self_read")
     tables.replace_table(spark.table("self_read").where("id > 1"), "self_read")
