@@ -44,7 +44,7 @@ REMEMBER = 600_000
 #: Text bytes per file: a task that reads more learns fewer words anew.
 FILE_BYTES = 64 << 20
 #: Text bytes that are split and numbered together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 # --- The file format -----------------------------------------------------------------
@@ -191,8 +191,9 @@ class WordEncoder:
         numbers = np.insert(known[words.indices.to_numpy()], after, 0)
         many = self._sizes[numbers]
         total = np.cumsum(many)
-        ids = self._ids[np.repeat(self._starts[numbers] - (total - many), many) + np.arange(many.sum())]
-        return ids, np.diff(total[after + np.arange(len(after))], prepend=0)
+        places = np.repeat(self._starts[numbers] - (total - many), many)
+        places += np.arange(len(places))
+        return self._ids[places], np.diff(total[after + np.arange(len(after))], prepend=0)
 
     def _learn(self) -> None:
         """Encode new words, words of letters only apart from the others."""
