@@ -40,7 +40,7 @@ from .shared import Numbering, RangeReader, SharedWriter, work_folder
 BLOCK = 1 << 16
 MAGIC = b"BPIDS\x00\x01\x00"
 END_ID = 1
-REMEMBER = 600_000
+REMEMBER = 300_000
 #: Text bytes per file: a task that reads more learns fewer words anew.
 FILE_BYTES = 64 << 20
 #: Text bytes that are split and numbered together.
